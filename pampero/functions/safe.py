@@ -18,9 +18,8 @@ _WHOLE = r"^\s*[+-]?\d+\s*$"
 
 
 def safe_double(text: Column) -> Column:
-    """Number from text; Java's ``d``/``f`` suffixes and NaN are not numbers here."""
-    last = F.lower(F.right(F.rtrim(text), F.lit(1)))
-    suffixed = (last == "d") | ((last == "f") & ~F.lower(F.rtrim(text)).endswith("inf"))
+    """Finite number or infinity from text; Java's ``d``/``f`` suffixes and NaN are no numbers."""
+    suffixed = F.substring(text, -1, 1).isin("d", "D", "f", "F") & ~text.rlike("(?i)inf$")
     number = F.when(~suffixed, text).try_cast("double")
     return F.nanvl(number, F.lit(None).cast("double"))
 

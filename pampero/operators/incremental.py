@@ -56,13 +56,16 @@ def merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def merge_newest(
-    target: DataFrame, batch: DataFrame, keys: list[str], version: str
+    target: DataFrame, batch: DataFrame, keys: list[str], version: list[str]
 ) -> DataFrame:
     """Target and batch with the newest version of each key, in whatever order they came."""
     assert_same_columns(target, batch)
-    both = target.unionByName(batch)
-    tiebreak = sorted(c for c in batch.columns if c not in (*keys, version))
-    return best_row(both, keys, newest(version), tiebreak)
+    return newest_versions(target.unionByName(batch), keys, version)
+
+
+def newest_versions(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
+    tiebreak = sorted(c for c in df.columns if c not in (*keys, *version))
+    return best_row(df, keys, newest(*version), tiebreak)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -96,12 +99,12 @@ def upsert(
     path: str,
     keys: list[str],
     cluster_by: list[str],
-    version: str | None = None,
+    version: list[str] | None = None,
 ) -> None:
     """Merge a batch into the table at `path`, rewriting only the months it touches.
 
-    Batch rows replace stored ones; with `version`, only if they are newer by that column,
-    for batches that may arrive late or twice.
+    Batch rows replace stored ones; with `version`, only if they are newer by those
+    columns, for batches that may arrive late or twice.
 
     The key must determine the month (it holds the date). The merged months are written to
     the shared folder before the table is touched, so a failure up to there leaves the table
@@ -112,14 +115,15 @@ def upsert(
     spark = batch.sparkSession
     target = read_table(spark, path)
     if target is None:
-        overwrite_months(batch, path, cluster_by)
+        first = newest_versions(batch, keys, version) if version else batch
+        overwrite_months(first, path, cluster_by)
         return
     batch = stage(batch, "batch")
     # One row per touched month, at most twelve a year: safe to broadcast at any table size.
     # The semi join prunes the table's partitions at run time.
     months = F.broadcast(batch.select("month_start").distinct())
     touched = target.join(months, "month_start", "left_semi")
-    if version is None:
+    if not version:
         merged = merge(touched, batch, keys)
     else:
         merged = merge_newest(touched, batch, keys, version)

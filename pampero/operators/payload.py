@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+PREFIX = "payload_"
+
+
 def scalar_text(value: Column) -> Column:
     """Text of a payload member, NULL where it holds an object or an array.
 
@@ -16,26 +19,23 @@ def scalar_text(value: Column) -> Column:
 
 
 def with_payload(df: DataFrame, members: T.StructType) -> DataFrame:
-    """Replace `data` by a `payload` struct holding every member as text.
+    """Replace `data` by one text column per member, named ``payload_<member>``.
 
     * `data` is a struct: members are read in place, so the Parquet scan fetches only those
       that are used later. Members it lacks are NULL.
     * `data` is JSON text: it is parsed once per row under the declared schema, not once per
-      member.
+      member. The parse sits in a generator because filters on members would otherwise be
+      pushed below it, each with a parse of its own.
     * `data` is a VARIANT: rendered as JSON text first.
     """
     kind = df.schema["data"].dataType
+    names = members.fieldNames()
     if isinstance(kind, T.StructType):
-        payload = F.struct(
-            *[
-                _member(kind, name).alias(name)
-                for name in members.fieldNames()
-            ]
-        )
-    else:
-        text = F.to_json(F.col("data")) if isinstance(kind, T.VariantType) else F.col("data")
-        payload = F.from_json(text, members)
-    return df.withColumn("payload", payload).drop("data")
+        columns = {PREFIX + n: _member(kind, n) for n in names}
+        return df.withColumns(columns).drop("data")
+    text = F.to_json(F.col("data")) if isinstance(kind, T.VariantType) else F.col("data")
+    parsed = F.inline_outer(F.array(F.from_json(text, members))).alias(*[PREFIX + n for n in names])
+    return df.select(*[c for c in df.columns if c != "data"], parsed)
 
 
 def _member(kind: T.StructType, name: str) -> Column:
@@ -48,9 +48,10 @@ def _member(kind: T.StructType, name: str) -> Column:
 
 
 def text_member(name: str) -> Column:
-    return scalar_text(F.col("payload").getField(name))
+    """Member kept as text."""
+    return scalar_text(F.col(PREFIX + name))
 
 
 def raw_member(name: str) -> Column:
     """Member to be cast: a nested value fails the cast and becomes NULL by itself."""
-    return F.col("payload").getField(name)
+    return F.col(PREFIX + name)

@@ -17,27 +17,35 @@ def lazy(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+Source = DataFrame | Callable[[], DataFrame]
+
+
+def _open(source: Source) -> DataFrame:
+    return source if isinstance(source, DataFrame) else source()
+
+
 @dataclass
 class Models:
     """Relations by name, each built on first use.
 
+    Sources are given as relations, or as functions that open them when first needed.
     `keep` stores relations read by several later ones (default: written once to the shared
     folder); pass `lazy` to keep everything one plan.
     """
 
-    raw_weather: DataFrame
-    raw_locations: DataFrame
-    tax_csv: DataFrame | None = None
-    yield_csv: DataFrame | None = None
+    raw_weather: Source
+    raw_locations: Source
+    tax_csv: Source | None = None
+    yield_csv: Source | None = None
     keep: Callable[[DataFrame, str], DataFrame] = field(default=stage)
 
     @cached_property
     def stg_weather(self) -> DataFrame:
-        return staging.weather(self.raw_weather)
+        return staging.weather(_open(self.raw_weather))
 
     @cached_property
     def stg_locations(self) -> DataFrame:
-        return staging.locations(self.raw_locations)
+        return staging.locations(_open(self.raw_locations))
 
     @cached_property
     def current_locations(self) -> DataFrame:
@@ -58,8 +66,9 @@ class Models:
 
     @cached_property
     def weather_quality(self) -> DataFrame:
-        # Deduplication keeps every day, so the kept relation has the same newest day.
-        latest = weather.latest_day(self.best_weather)
+        # Both relations have the same newest day: a stored one is the cheaper to ask.
+        days = self.stg_weather if self.keep is lazy else self.best_weather
+        latest = weather.latest_day(days)
         return weather.with_quality(self.weather_metrics, latest)
 
     @cached_property
@@ -76,11 +85,11 @@ class Models:
 
     @cached_property
     def tax(self) -> DataFrame:
-        return marts.tax_by_province(staging.tax(self.tax_csv))
+        return marts.tax_by_province(staging.tax(_open(self.tax_csv)))
 
     @cached_property
     def yields(self) -> DataFrame:
-        return marts.yields_by_province(staging.yields(self.yield_csv))
+        return marts.yields_by_province(staging.yields(_open(self.yield_csv)))
 
     @cached_property
     def province_mentions(self) -> DataFrame:

@@ -129,5 +129,5 @@ def legacy_weather(raw: DataFrame) -> DataFrame:
 
 def flattened_weather(raw: DataFrame) -> DataFrame:
     """Raw weather with the payload members at top level, still as text."""
-    members = [F.col("payload").getField(n).alias(n) for n in WEATHER_PAYLOAD.fieldNames()]
+    members = [raw_member(n).alias(n) for n in WEATHER_PAYLOAD.fieldNames()]
     return with_payload(raw, WEATHER_PAYLOAD).select(*members, *REPLICATION)

@@ -7,6 +7,11 @@ from pyspark.sql import SparkSession
 # Correctness: text timestamps without a zone are UTC.
 TIME_ZONE = {"spark.sql.session.timeZone": "UTC"}
 
+# Speed: the JVM compiles no method beyond 8000 bytes of bytecode. A stage of many casts and
+# formulas exceeds that when generated as one method and would run interpreted, several times
+# slower; under this limit Spark generates it as smaller methods instead.
+CODE_SIZE = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 # Scale: let Spark re-plan at run time, split skewed join partitions, size broadcasts by
 # measured bytes. Shuffle partitions are a ceiling that AQE coalesces.
 SCALE = {
@@ -21,13 +26,13 @@ def build_session(app: str = "pampero", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**TIME_ZONE, **SCALE, **conf}.items():
+    for key, value in {**TIME_ZONE, **CODE_SIZE, **SCALE, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def pin_time_zone(spark: SparkSession) -> SparkSession:
-    """Put a session someone else built into UTC."""
-    for key, value in TIME_ZONE.items():
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session someone else built the settings that can still be changed."""
+    for key, value in {**TIME_ZONE, **CODE_SIZE}.items():
         spark.conf.set(key, value)
     return spark

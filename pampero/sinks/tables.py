@@ -28,7 +28,7 @@ def build(models: Models, out: str) -> dict[str, str]:
 
     Facts read by later marts are read back from their stored form, as tables.
     """
-    spark = models.raw_weather.sparkSession
+    spark = models.stg_weather.sparkSession
     paths = {}
 
     def table(name: str, df: DataFrame, cluster_by: list[str]) -> DataFrame:

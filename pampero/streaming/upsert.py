@@ -11,6 +11,7 @@ from pampero.plans import legacy, staging
 from pampero.sources.schemas import RAW_WEATHER
 
 CLUSTER_BY = ["location_id"]
+VERSION = ["_sdc_extracted_at", "_sdc_sequence"]
 
 
 def read_raw_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -25,7 +26,7 @@ def read_raw_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
 def load_batch(raw: DataFrame, table: str) -> None:
     """Merge one batch of raw snapshots into the daily table; the newest extract of a day wins."""
     daily = legacy.daily(staging.flattened_weather(raw))
-    upsert(daily, table, legacy.KEY, CLUSTER_BY, version="_sdc_extracted_at")
+    upsert(daily, table, legacy.KEY, CLUSTER_BY, version=VERSION)
 
 
 def daily_upsert(stream: DataFrame, table: str, checkpoint: str) -> DataStreamWriter:
