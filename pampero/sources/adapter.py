@@ -34,13 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a table stored in fewer pieces than there are cores among all of them.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Share a table stored in fewer files than there are cores among all of them.
 
     Verification tables are single small files. Tables of many files pass unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
 
 
 def _every(key: Column, n: int) -> Column:
@@ -64,7 +64,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as flat raw weather: typed replication columns and text measures."""
     used = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
     lines = spread(
-        table(spark, sf_dir, "lineitem").select(*used, "l_extendedprice", "l_shipdate")
+        table(spark, sf_dir, "lineitem").select(*used, "l_extendedprice", "l_shipdate"),
+        "l_orderkey",
     )
     o, p, s, n = (F.col(c) for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
     shipped = F.col("l_shipdate").cast("timestamp")
