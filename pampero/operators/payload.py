@@ -21,6 +21,7 @@ def scalar_text(value: Column) -> Column:
 def with_payload(df: DataFrame, members: T.StructType) -> DataFrame:
     """Replace `data` by one text column per member, named ``payload_<member>``.
 
+    * There is no `data`: members are columns already, as in the loader's flattened view.
     * `data` is a struct: members are read in place, so the Parquet scan fetches only those
       that are used later. Members it lacks are NULL.
     * `data` is JSON text: it is parsed once per row under the declared schema, not once per
@@ -28,14 +29,19 @@ def with_payload(df: DataFrame, members: T.StructType) -> DataFrame:
       pushed below it, each with a parse of its own.
     * `data` is a VARIANT: rendered as JSON text first.
     """
-    kind = df.schema["data"].dataType
     names = members.fieldNames()
+    kept = [c for c in df.columns if c != "data"]
+    if "data" not in df.columns:
+        kept = [c for c in kept if c not in names]
+        flat = [_column(df, n).alias(PREFIX + n) for n in names]
+        return df.select(*kept, *flat)
+    kind = df.schema["data"].dataType
     if isinstance(kind, T.StructType):
         columns = {PREFIX + n: _member(kind, n) for n in names}
         return df.withColumns(columns).drop("data")
     text = F.to_json(F.col("data")) if isinstance(kind, T.VariantType) else F.col("data")
     parsed = F.inline_outer(F.array(F.from_json(text, members))).alias(*[PREFIX + n for n in names])
-    return df.select(*[c for c in df.columns if c != "data"], parsed)
+    return df.select(*kept, parsed)
 
 
 def _member(kind: T.StructType, name: str) -> Column:
@@ -47,6 +53,11 @@ def _member(kind: T.StructType, name: str) -> Column:
     return value.cast("string")
 
 
+def _column(df: DataFrame, name: str) -> Column:
+    value = F.col(name) if name in df.columns else F.lit(None)
+    return value.cast("string")
+
+
 def text_member(name: str) -> Column:
     """Member kept as text."""
     return scalar_text(F.col(PREFIX + name))

@@ -49,7 +49,8 @@ class Models:
 
     @cached_property
     def current_locations(self) -> DataFrame:
-        return dimensions.current_locations(self.stg_locations)
+        current = dimensions.current_locations(self.stg_locations)
+        return self.keep(current, "current_locations")
 
     @cached_property
     def best_weather(self) -> DataFrame:

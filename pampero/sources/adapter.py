@@ -136,7 +136,9 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_weather(spark: SparkSession, sf_dir: str, form: str = "struct") -> DataFrame:
-    """Observations with their payload as a struct of text or as a JSON document."""
+    """Observations with a struct payload, a JSON payload, or flat without one."""
+    if form == "flat":
+        return observations(spark, sf_dir)
     data = F.struct(*WEATHER_PAYLOAD.fieldNames())
     if form == "json":
         data = F.to_json(data)

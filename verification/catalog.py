@@ -59,20 +59,20 @@ def _present(df: DataFrame) -> DataFrame:
     return df.select([column(f) for f in df.schema])
 
 
-def _models(spark: SparkSession, d: str, form: str = "struct", keep=stage) -> Models:
+def _models(spark: SparkSession, d: str, form: str = "flat", keep=stage) -> Models:
     """Model graph over the derived sources; CSV files are written when first needed."""
     return Models(
         lambda: adapter.raw_weather(spark, d, form),
-        lambda: adapter.raw_locations(spark, d, form),
+        lambda: adapter.raw_locations(spark, d, "json" if form == "json" else "struct"),
         lambda: adapter.tax_csv(spark, d),
         lambda: adapter.yield_csv(spark, d),
         keep=keep,
     )
 
 
-def _plan(spark: SparkSession, d: str) -> Models:
+def _plan(spark: SparkSession, d: str, form: str = "flat") -> Models:
     """The same without stored relations, for queries that read each relation once."""
-    return _models(spark, d, keep=lazy)
+    return _models(spark, d, form, keep=lazy)
 
 
 DAY = ["location_id", "date"]
@@ -110,6 +110,11 @@ def _(spark, d):
 
 
 @query("stg_weather_daily_struct", sql.select("stg", STG_WEATHER))
+def _(spark, d):
+    return _plan(spark, d, "struct").stg_weather
+
+
+@query("stg_weather_daily_flat", sql.select("stg", STG_WEATHER))
 def _(spark, d):
     return _plan(spark, d).stg_weather
 
@@ -582,7 +587,7 @@ def _(spark, d):
 
 
 def _flat(spark, d) -> DataFrame:
-    return staging.flattened_weather(adapter.raw_weather(spark, d))
+    return adapter.observations(spark, d)
 
 
 EXTRACT = ["location_id", "date", "_sdc_extracted_at", "_sdc_sequence"]
