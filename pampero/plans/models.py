@@ -78,7 +78,10 @@ class Models:
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return dimensions.dim_location(self.current_locations, self.weather_only)
+        # Stored, its size is known before the fact is joined: while it is small the fact
+        # is not shuffled for it.
+        dim = dimensions.dim_location(self.current_locations, self.weather_only)
+        return self.keep(dim, "dim_location")
 
     @cached_property
     def fct_weather(self) -> DataFrame:

@@ -35,12 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share a table stored in fewer files than there are cores among all of them.
+    """Share a table read in fewer pieces than there are cores among all of them.
 
-    Verification tables are single small files. Tables of many files pass unchanged.
+    Verification tables are single small files. Large tables pass unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def _every(key: Column, n: int) -> Column:

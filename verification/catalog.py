@@ -666,9 +666,10 @@ def _(spark, d):
 def _(spark, d):
     """Raw files read as a stream in several micro-batches, each merged into the table."""
     raw, table = new_path(spark, "raw"), new_path(spark, "daily")
-    # Files hold copies of one day apart from each other, so batches meet on the same keys.
+    # Copies of one day come from different orders and lie in different files, so later
+    # batches meet rows of earlier ones.
     adapter.raw_weather(spark, d).write.parquet(raw)
-    files = len(spark.read.parquet(raw).inputFiles())
+    files = spark.read.format("binaryFile").load(raw).select("path").count()
     stream = streaming.read_raw_stream(spark, raw, files_per_batch=max(1, files // 3))
     job = streaming.run_available(stream, table, new_path(spark, "progress"))
     job.awaitTermination()
