@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pampero.llm import exact_dedup, warc
+from pampero.llm import decontamination, exact_dedup, warc
 from pampero.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Words between separators of ASCII.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+#: A text lower-cased in A-Z alone, in SQL.
+ASCII_LOWER = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+
+@register
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10
+    ).drop("hit_spans")
+
+
+WORD_LIST = f"regexp_extract_all({ASCII_LOWER}, '{WORD}')"
+
+ORACLES["op3_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, {WORD_LIST} AS w FROM documents),
+items AS (SELECT item_id, {WORD_LIST} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 10) AS n FROM items WHERE len(w) > 0),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS words
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+),
+spans AS (
+    SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS words
+    FROM (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT n FROM sized) WHERE len(w) >= n
+    )
+),
+met AS (SELECT doc_id, item_id, n, i FROM spans JOIN windows USING (n, words)),
+hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM met) GROUP BY doc_id
+),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM met) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 @register
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
