@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pampero.llm import decontamination, exact_dedup, warc
+from pampero.llm import decontamination, exact_dedup, ngram_join, warc
 from pampero.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,41 @@ FROM texts JOIN kept USING (text)
 """
 
 
+@register
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=5, percent=80)
+
+
+ORACLES["op8_ngram_join"] = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+    FROM (
+        SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0
+    )
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+meetings AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have
+    FROM shingles AS a JOIN shingles AS b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM meetings JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)
+),
+reach AS (
+    SELECT a AS doc_id, b AS other FROM links
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, min(other)) AS component_id
+FROM docs AS d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.doc_id = d.doc_id
+GROUP BY d.doc_id, n
+"""
+
+
 @register
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"), min_bytes=0)
