@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pampero.llm import decontamination, exact_dedup, ngram_join, warc
+from pampero.llm import decontamination, exact_dedup, language_id, ngram_join, toxicity, warc
 from pampero.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(n: int) -> Column:
+    """Which of n folds a document is in."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 #: Words between separators of ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -83,6 +89,15 @@ FROM texts JOIN kept USING (text)
 """
 
 
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        learn_from=remainder(5) != 0,
+    )
+
+
 @register
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=5, percent=80)
@@ -118,6 +133,11 @@ GROUP BY d.doc_id, n
 """
 
 
+@register
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), learn_from=remainder(3) != 1)
+
+
 @register
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"), min_bytes=0)
