@@ -21,11 +21,14 @@ BUCKET_BITS = 18
 FEATURES = 1024
 FACTORS = 8
 
+#: Least gain in log-likelihood that makes a bucket a feature: chance alone seldom gives it.
+TELLING = 12.0
+
 #: Labelled rows the machine is fitted on at most, first by a hash of their id. The counts that
 #: choose the features are over all labelled rows.
 FIT_ROWS = 20_000
 
-EPOCHS, BATCH, RATE, DECAY, SEED = 30, 256, 0.02, 2e-4, 7
+EPOCHS, BATCH, RATE, DECAY, SEED = 40, 256, 0.05, 5e-5, 7
 
 #: Bytes below 0x80 that no term contains: all but digits and letters.
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -137,9 +140,10 @@ def telling_buckets(labelled: DataFrame) -> np.ndarray:
     cells = np.stack((seen, totals - seen))
     means = np.stack((expected, totals - expected))
     telling = (cells * np.log(np.where(cells > 0, cells, 1) / np.maximum(means, 1e-12))).sum((0, 2))
-    telling[seen.sum(axis=1) < 3] = -1
+    # Only terms that speak for the label: those against it are the rest of the language.
+    telling[(seen.sum(axis=1) < 3) | (seen[:, 1] <= expected[:, 1])] = -1
     best = np.argsort(-telling, kind="stable")[:FEATURES]
-    best = best[telling[best] > 0]
+    best = best[telling[best] > TELLING]
     number[rows["bucket"].to_numpy()[best]] = np.arange(len(best))
     return number
 
@@ -165,7 +169,11 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Machine | N
         docs.where(learn_from & F.col("doc_id").isNotNull())
         .select("doc_id", text_bytes().alias("body"))
         .mapInArrow(terms, f"doc_id {kind}, terms binary")
-        .join(known, "doc_id"),
+        .join(known, "doc_id")
+        # Copies teach once: a text repeated a thousand times is not a thousand witnesses.
+        .groupBy(F.xxhash64("terms").alias("text"), "toxic")
+        .agg(F.min(F.struct("doc_id", "terms")).alias("row"))
+        .select("row.*", "toxic"),
         "labelled-terms",
     )
     number = telling_buckets(labelled)
