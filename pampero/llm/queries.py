@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pampero.llm import decontamination, exact_dedup, language_id, ngram_join, toxicity, warc
+from pampero.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    language_id,
+    ngram_join,
+    toxicity,
+    warc,
+)
 from pampero.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +45,15 @@ ASCII_LOWER = (
 )
 
 
+@register
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), file, outputs=False)
+    return encoded.drop("ids", "decoded")
+
+
 @register
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(
