@@ -12,6 +12,7 @@ from pampero.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    language_model,
     ngram_join,
     toxicity,
     warc,
@@ -45,6 +46,15 @@ ASCII_LOWER = (
 )
 
 
+@register
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(
+        table(spark, sf_dir, "documents"),
+        learn_from=remainder(5) != 1,
+        rounds=[remainder(5) == r for r in (0, 2, 3, 4)],
+    )
+
+
 @register
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
