@@ -13,12 +13,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pampero.workspace import stage
-
-__all__ = ["Words", "fold", "prepare", "stage", "slices", "table_size", "text_bytes"]
+from pampero.workspace import stage  # noqa: F401  (for the operators)
 
 #: Bytes of text handled at once inside a task; one longer text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -34,14 +32,6 @@ def text_bytes(column: str = "text") -> Column:
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")
 
 
-def table_size(df: DataFrame, column: str = "text") -> tuple[int, int]:
-    """Rows and bytes of a text column, to choose how many partitions to deal it to."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(column))).alias("b")
-    ).first()
-    return row["n"], row["b"] or 0
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the named binary column holds about ``SLICE_BYTES`` in each."""
     for batch in batches:
@@ -70,6 +60,32 @@ def fold(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def cell_filter(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which of 2**bits cells hold a value of a column of 64-bit hashes, packed.
+
+    Its size does not depend on how many values there are: with more, more cells are filled
+    and more strangers pass; no value is ever missed.
+    """
+    cell = F.shiftrightunsigned(column, 64 - bits) + 1
+    rows = (
+        df.groupBy(F.bitmap_bucket_number(cell).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"))
+        .collect()
+    )
+    filled = np.zeros(1 << bits >> 3, np.uint8)
+    for r in rows:
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        start = (r["bucket"] - 1) * len(part)
+        filled[start : start + len(part)] = part
+    return filled
+
+
+def in_cells(filled: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the cells of hashes are filled."""
+    cell = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    return ((filled[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1).astype(bool)
+
+
 class Words:
     """Words of many texts at once, lower-cased in A-Z, with a 64-bit hash each.
 

@@ -17,7 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pampero.llm.common import Words, buffers, fold, slices, stage, text_bytes
+from pampero.llm.common import (
+    Words,
+    buffers,
+    cell_filter,
+    fold,
+    in_cells,
+    slices,
+    stage,
+    text_bytes,
+)
 
 WINDOW = 10
 
@@ -112,22 +121,6 @@ def benchmark_contexts(benchmark: DataFrame, window: int) -> DataFrame:
     return items.mapInArrow(read, f"item_id long, {CONTEXT}").distinct()
 
 
-def gram_filter(contexts: DataFrame) -> np.ndarray:
-    """Which of the 2**FILTER_BITS cells hold a fingerprint of the benchmark."""
-    cell = F.shiftrightunsigned("fp", 64 - FILTER_BITS) + 1
-    rows = (
-        contexts.groupBy(F.bitmap_bucket_number(cell).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"))
-        .collect()
-    )
-    filled = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for r in rows:
-        bits = np.frombuffer(bytes(r["bits"]), np.uint8)
-        start = (r["bucket"] - 1) * len(bits)
-        filled[start : start + len(bits)] = bits
-    return filled
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``
     and ``hit_spans``, the stretches of hit words as (start, end).
@@ -139,7 +132,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     spark = docs.sparkSession
     contexts = stage(benchmark_contexts(benchmark, window), "benchmark-grams")
     spans = [r[0] for r in contexts.select("span").distinct().collect()]  # 1 to window
-    filled = spark.sparkContext.broadcast(gram_filter(contexts))
+    filled = spark.sparkContext.broadcast(cell_filter(contexts, "fp", FILTER_BITS))
 
     def scan(batches):
         words = Words(SEPARATORS)
@@ -149,9 +142,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
             found: list[list] = [[] for _ in range(batch.num_rows)]
             for span in spans:
                 fps, owner, pos, place = fingerprints(table, span)
-                cell = (fps >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                hit = (cells[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
-                for i in np.flatnonzero(hit):
+                for i in np.flatnonzero(in_cells(cells, fps, FILTER_BITS)):
                     before, after = context(table, owner[i], int(place[i]), span)
                     found[owner[i]].append(
                         {"fp": int(fps[i].view(np.int64)), "span": span, "pos": int(pos[i]),

@@ -22,7 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pampero.llm.common import Words, buffers, fold, slices, stage, text_bytes
+from pampero.llm.common import (
+    Words,
+    buffers,
+    cell_filter,
+    fold,
+    in_cells,
+    slices,
+    stage,
+    text_bytes,
+)
 from pampero.llm.components import components
 
 SHINGLE = 5
@@ -35,9 +44,14 @@ SPACES = b" \t\n\v\f\r"
 FREQUENT = 64
 FREQUENT_SHARE = 500_000
 
-#: Prefix members a list task holds, and bits of the parity signature that bounds a difference.
+#: Prefix members a list task holds at most, about.
 LIST_MEMBERS = 2_000_000
-SIGNATURE_WORDS = 16
+
+#: Least bits of a signature; a larger set has the power of two from twice its size on.
+SIGNATURE_BITS = 1024
+
+#: Cells of the filter that keeps texts nobody asks for out of a join.
+FILTER_BITS = 24
 
 
 def shingle_sets(table, k: int) -> list[np.ndarray]:
@@ -57,6 +71,26 @@ def shingle_sets(table, k: int) -> list[np.ndarray]:
     return sets
 
 
+def signature(members: np.ndarray) -> bytes:
+    """Parity of the member count in each of equal ranges of hashes, a bit each."""
+    bits = SIGNATURE_BITS
+    while bits < 2 * len(members):
+        bits *= 2
+    at = (members >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Members at least that only one of two sets has: bits in which their signatures differ.
+    The finer signature is folded to the other's size, two ranges into one."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):
+        if len(a) > len(b):
+            a, b = b, a
+        b = np.packbits(np.bitwise_xor.reduce(np.unpackbits(b).reshape(-1, 2), axis=1))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def frequent_members(docs: DataFrame, k: int) -> np.ndarray:
     """Members to order last: those frequent in the counts that input tasks find notable."""
 
@@ -112,8 +146,7 @@ def prefix_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 sizes.append(n)
                 d1.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 d2.append(int(np.bitwise_xor.reduce(fold(s + np.uint64(1))).view(np.int64)))
-                bits = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
-                signs.append(np.packbits(bits.astype(np.uint8)).view(np.int64).tolist())
+                signs.append(signature(s))
                 rare = s[~in_sorted(s, frequent)]
                 ordered = np.concatenate((rare, s[in_sorted(s, frequent)]))
                 p = n - -(-n * percent // 100) + 1 if n else 0
@@ -126,7 +159,7 @@ def prefix_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(d1, pa.int64()),
                     pa.array(d2, pa.int64()),
-                    pa.array(signs, pa.list_(pa.int64())),
+                    pa.array(signs, pa.binary()),
                     pa.array(prefixes, pa.binary()),
                 ],
                 names=["row", "doc_id", "check", "n", "d1", "d2", "signature", "prefix"],
@@ -141,7 +174,7 @@ def prefix_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     )
     schema = (
         f"row long, doc_id {kind}, check long, n long, d1 long, d2 long, "
-        "signature array<long>, prefix binary"
+        "signature binary, prefix binary"
     )
     return stage(read.mapInArrow(scan, schema), "set-prefixes")
 
@@ -221,25 +254,27 @@ def room(percent: int) -> Column:
 
 
 def plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` whose signatures allow them to be alike, with sizes.
-
-    Bits of a signature are parities of member counts: each that differs is a member that only
-    one set has.
-    """
+    """Pairs ``a, b`` whose signatures allow them to be alike, with sizes."""
     of = lambda s: reps.select(
         F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("signature").alias(f"s{s}")
     )
-    apart = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-        F.lit(0),
-        lambda total, c: total + c,
-    )
-    room_left = F.col("na") + F.col("nb") - 2 * needed(F.col("na"), F.col("nb"), percent)
+
+    def bound(batches):
+        for batch in batches:
+            signs = zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())
+            least = np.array([apart(x, y) for x, y in signs], np.int64)
+            fits = least <= batch.column(4).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i).filter(pa.array(fits)) for i in range(4)],
+                names=["a", "b", "na", "nb"],
+            )
+
+    space = F.col("na") + F.col("nb") - 2 * needed(F.col("na"), F.col("nb"), percent)
     return (
         pairs.join(of("a"), "a")
         .join(of("b"), "b")
-        .where(apart <= room_left)
-        .select("a", "b", "na", "nb")
+        .select("a", "b", "na", "nb", space.alias("space"), "sa", "sb")
+        .mapInArrow(bound, "a long, b long, na long, nb long")
     )
 
 
@@ -278,11 +313,20 @@ def members_of(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> Da
             )
 
     wanted = reps.join(nodes, "node").select("node", F.col("doc_id").alias("id"), "check")
+    filled = docs.sparkSession.sparkContext.broadcast(cell_filter(wanted, "check", FILTER_BITS))
+
+    def asked(batches):
+        cells = filled.value
+        for batch in batches:
+            check = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(in_cells(cells, check, FILTER_BITS)))
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select(
         F.col("doc_id").alias("id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("check"),
         text_bytes().alias("body"),
-    )
+    ).mapInArrow(asked, f"id {kind}, check long, body binary")
     same = texts["check"].eqNullSafe(wanted["check"]) & texts["id"].eqNullSafe(wanted["id"])
     return (
         texts.join(wanted, same)
@@ -322,10 +366,12 @@ def jaccard_links(
     heads = blocks.groupBy("member", "block").agg(
         F.min(F.struct("node", "n", "place")).alias("head")
     )
+    heads = heads.select("member", "block", "head.*").alias("x")
     first_pairs = (
-        blocks.join(heads, ["member", "block"])
-        .where(F.col("node") > F.col("head.node"))
-        .select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+        blocks.alias("y")
+        .join(heads, ["member", "block"])
+        .where((F.col("y.node") > F.col("x.node")) & room(percent))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
     )
     first = stage(plausible(first_pairs, reps, percent), "set-pairs")

@@ -14,6 +14,7 @@ from pampero.llm import (
     language_id,
     language_model,
     ngram_join,
+    suffix_dedup,
     toxicity,
     warc,
 )
@@ -125,6 +126,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 @register
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=5, percent=80)

@@ -165,15 +165,22 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Machine | N
         .groupBy("doc_id")
         .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     )
+    learned = docs.where(learn_from & F.col("doc_id").isNotNull())
+    # Copies teach once: a text repeated a thousand times is not a thousand witnesses.
+    witnesses = (
+        learned.select("doc_id", F.xxhash64("text").alias("check"))
+        .join(known, "doc_id")
+        .groupBy("check", "toxic")
+        .agg(F.min("doc_id").alias("doc_id"))
+        .select("doc_id", "toxic")
+        .distinct()
+    )
+    # Merged by id whatever the sizes: labels grow with the documents, so a plan that sends
+    # them to every task would be another one on a larger table.
     labelled = stage(
-        docs.where(learn_from & F.col("doc_id").isNotNull())
-        .select("doc_id", text_bytes().alias("body"))
+        learned.select("doc_id", text_bytes().alias("body"))
         .mapInArrow(terms, f"doc_id {kind}, terms binary")
-        .join(known, "doc_id")
-        # Copies teach once: a text repeated a thousand times is not a thousand witnesses.
-        .groupBy(F.xxhash64("terms").alias("text"), "toxic")
-        .agg(F.min(F.struct("doc_id", "terms")).alias("row"))
-        .select("row.*", "toxic"),
+        .join(witnesses.hint("merge"), "doc_id"),
         "labelled-terms",
     )
     number = telling_buckets(labelled)
