@@ -13,6 +13,7 @@ from pampero.llm import (
     exact_dedup,
     language_id,
     language_model,
+    line_dedup,
     ngram_join,
     suffix_dedup,
     toxicity,
@@ -117,6 +118,64 @@ FROM texts JOIN kept USING (text)
 """
 
 
+@register
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), edits=2, min_chars=20)
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op5_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, i, line FROM (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+            generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM documents WHERE text <> ''
+    )
+),
+long AS (SELECT * FROM lines WHERE length(line) >= 20),
+kinds AS (
+    SELECT line, length(line)::INT AS n, min(struct_pack(doc_id := doc_id, i := i)) AS first
+    FROM long GROUP BY line
+),
+thirds AS (
+    SELECT line, n, k, substr(line, (n * k // 3) + 1, n * (k + 1) // 3 - n * k // 3) AS part
+    FROM kinds, range(3) AS t(k)
+),
+probes AS (
+    SELECT line, first, n - less AS n, k,
+        substr(line, ((n - less) * k // 3) + 1 + shift, (n - less) * (k + 1) // 3 - (n - less) * k // 3) AS part
+    FROM kinds, range(3) AS d(less), range(3) AS t(k), range(-2, 3) AS s(shift)
+    WHERE ((n - less) * k // 3) + 1 + shift >= 1
+),
+met AS (
+    SELECT DISTINCT a.line AS a, b.line AS b FROM probes AS a JOIN thirds AS b USING (n, k, part)
+    WHERE a.line <> b.line
+),
+near AS (SELECT a, b FROM met WHERE levenshtein(a, b) <= 2),
+late AS (
+    SELECT DISTINCT CASE WHEN x.first > y.first THEN a ELSE b END AS line
+    FROM near JOIN kinds AS x ON x.line = a JOIN kinds AS y ON y.line = b
+),
+gone AS (
+    SELECT l.doc_id, l.i FROM long AS l JOIN kinds AS k USING (line)
+    WHERE struct_pack(doc_id := l.doc_id, i := l.i) <> k.first OR l.line IN (FROM late)
+),
+kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n_kept
+    FROM lines ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+),
+counted AS (SELECT doc_id, count(*) AS n_lines FROM lines GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines, 0) - coalesce(n_kept, 0) AS n_dropped,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents AS d LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 @register
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(
