@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -54,6 +55,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -45,10 +45,12 @@ def relationship(child: DataFrame, column: str, parent: DataFrame, field: str) -
     return keys.join(known, column, "left_anti")
 
 
-def expression(df: DataFrame, holds: Column, where: Column | None = None) -> DataFrame:
-    """Rows for which the condition does not hold; an unknown condition counts as a failure."""
+def expression(
+    df: DataFrame, holds: Column, where: Column | None = None, strict: bool = False
+) -> DataFrame:
+    """Rows for which the condition is false; with ``strict`` also those where it is unknown."""
     considered = df if where is None else df.filter(where)
-    return considered.filter(~F.coalesce(holds, F.lit(False)))
+    return considered.filter(~(F.coalesce(holds, F.lit(False)) if strict else holds))
 
 
 def coverage(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -9,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pampero.operators.ranking import best_row, newest
-from pampero.workspace import stage
+from pampero.workspace import staged
+
+#: Tasks that share a month at most, when it is written.
+MONTH_BUCKETS = 64
 
 
 def high_water_mark(target: DataFrame, column: str) -> datetime | None:
@@ -81,11 +85,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 def overwrite_months(df: DataFrame, path: str, cluster_by: list[str]) -> None:
     """Replace the months present in `df`, leave the others alone.
 
-    Rows are spread by range over month and cluster columns, so a large month is shared by
-    many tasks and each file covers a narrow key range.
+    Rows are dealt by month and a hash of the cluster columns, so a large month, or one value
+    of the first cluster column, is shared by many tasks, each of which writes its rows in
+    order. Dealing by hash takes the input as it comes; by range it would be worked out twice,
+    first for a sample.
     """
+    bucket = F.pmod(F.xxhash64(*cluster_by), F.lit(MONTH_BUCKETS)).alias("bucket")
     (
-        df.repartitionByRange("month_start", *cluster_by)
+        df.repartition("month_start", bucket)
         .sortWithinPartitions("month_start", *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -94,6 +101,46 @@ def overwrite_months(df: DataFrame, path: str, cluster_by: list[str]) -> None:
     )
 
 
+def mark_path(table: str) -> str:
+    return f"{table.rstrip('/')}.mark"
+
+
+def committed_mark(spark: SparkSession, table: str, column: str) -> datetime | None:
+    """High-water mark of the loads that ended: one stored row, however large the table is.
+
+    A table without a record, loaded by other means, is asked itself.
+    """
+    record = read_table(spark, mark_path(table))
+    if record is not None:
+        return record.select(F.col("mark").cast("timestamp_ntz")).first()[0]
+    target = read_table(spark, table)
+    return None if target is None else high_water_mark(target, column)
+
+
+def load_new(
+    source: DataFrame,
+    path: str,
+    column: str,
+    shape: Callable[[DataFrame], DataFrame],
+    keys: list[str],
+    cluster_by: list[str],
+) -> None:
+    """One load: source rows past the mark, shaped, upserted, and the new mark recorded.
+
+    The mark moves after the last month is in place. A load that dies between two months leaves
+    the old one, so the next load reads the same rows again and ends what was begun.
+    """
+    spark = source.sparkSession
+    before = committed_mark(spark, path, column)
+    fresh = rows_after(source, column, before)
+    after = high_water_mark(fresh, column)
+    if after is None:
+        return
+    upsert(shape(fresh), path, keys, cluster_by)
+    record = spark.range(1).select(F.lit(after.isoformat(" ")).cast("timestamp").alias("mark"))
+    record.coalesce(1).write.mode("overwrite").parquet(mark_path(path))
+
+
 def upsert(
     batch: DataFrame,
     path: str,
@@ -101,16 +148,16 @@ def upsert(
     cluster_by: list[str],
     version: list[str] | None = None,
 ) -> None:
-    """Merge a batch into the table at `path`, rewriting only the months it touches.
+    """Merge a batch into the table at `path`, reading and rewriting only the months it touches.
 
     Batch rows replace stored ones; with `version`, only if they are newer by those
     columns, for batches that may arrive late or twice.
 
-    The key must determine the month (it holds the date). The merged months are written to
-    the shared folder before the table is touched, so a failure up to there leaves the table
-    as it was. Months are then swapped one after the other: if the driver dies in between,
-    run the same batch again (``rows_after`` with the earlier mark), not one read from the
-    half-swapped table's mark. The streaming job replays its batch by itself.
+    The key must determine the month (it holds the date). The months are a filter of literals
+    on the partition column, so other months' files are not opened. Merged months are written
+    to the shared folder before the table is touched and deleted from it when they are in
+    place. Months are swapped one after the other: after a failure in between, the same batch has
+    to come again, as it does in `load_new` and in the streaming job.
     """
     spark = batch.sparkSession
     target = read_table(spark, path)
@@ -118,13 +165,14 @@ def upsert(
         first = newest_versions(batch, keys, version) if version else batch
         overwrite_months(first, path, cluster_by)
         return
-    batch = stage(batch, "batch")
-    # One row per touched month, at most twelve a year: safe to broadcast at any table size.
-    # The semi join prunes the table's partitions at run time.
-    months = F.broadcast(batch.select("month_start").distinct())
-    touched = target.join(months, "month_start", "left_semi")
-    if not version:
-        merged = merge(touched, batch, keys)
-    else:
-        merged = merge_newest(touched, batch, keys, version)
-    overwrite_months(stage(merged, "merged"), path, cluster_by)
+    with staged(batch, "batch") as batch:
+        # One value per month of history touched, twelve a year at most.
+        months = [r[0] for r in batch.select("month_start").distinct().collect()]
+        known = F.col("month_start").isin([m for m in months if m is not None])
+        touched = target.where(known | F.col("month_start").isNull() if None in months else known)
+        if not version:
+            merged = merge(touched, batch, keys)
+        else:
+            merged = merge_newest(touched, batch, keys, version)
+        with staged(merged, "merged") as merged:
+            overwrite_months(merged, path, cluster_by)

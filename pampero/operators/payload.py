@@ -10,16 +10,27 @@ from pyspark.sql import types as T
 PREFIX = "payload_"
 
 
-def scalar_text(value: Column) -> Column:
+#: The payload as JSON text, NULL where members came as columns or struct fields.
+DOCUMENT = "payload__document"
+
+
+def scalar_text(value: Column, name: str) -> Column:
     """Text of a payload member, NULL where it holds an object or an array.
 
-    ``from_json`` hands nested values over as their JSON text.
+    ``from_json`` hands nested values over as their JSON text, which plain text may look
+    like. So only values that begin with a bracket are looked up again in the parsed document,
+    which knows their type.
     """
-    return F.when(~value.startswith("{") & ~value.startswith("["), value)
+    document = F.col(DOCUMENT)
+    member = F.try_variant_get(F.try_parse_json(document), f"$.{name}", "variant")
+    is_text = F.coalesce(F.schema_of_variant(member) == "STRING", F.lit(False))
+    bracket = value.startswith("{") | value.startswith("[")
+    return F.when(~bracket | document.isNull() | is_text, value)
 
 
 def with_payload(df: DataFrame, members: T.StructType) -> DataFrame:
-    """Replace `data` by one text column per member, named ``payload_<member>``.
+    """Replace `data` by one text column per member, named ``payload_<member>``, and the
+    document in `DOCUMENT`.
 
     * There is no `data`: members are columns already, as in the loader's flattened view.
     * `data` is a struct: members are read in place, so the Parquet scan fetches only those
@@ -34,14 +45,15 @@ def with_payload(df: DataFrame, members: T.StructType) -> DataFrame:
     if "data" not in df.columns:
         kept = [c for c in kept if c not in names]
         flat = [_column(df, n).alias(PREFIX + n) for n in names]
-        return df.select(*kept, *flat)
+        return df.select(*kept, *flat, F.lit(None).cast("string").alias(DOCUMENT))
     kind = df.schema["data"].dataType
     if isinstance(kind, T.StructType):
         columns = {PREFIX + n: _member(kind, n) for n in names}
+        columns[DOCUMENT] = F.lit(None).cast("string")
         return df.withColumns(columns).drop("data")
     text = F.to_json(F.col("data")) if isinstance(kind, T.VariantType) else F.col("data")
     parsed = F.inline_outer(F.array(F.from_json(text, members))).alias(*[PREFIX + n for n in names])
-    return df.select(*kept, parsed)
+    return df.select(*kept, text.alias(DOCUMENT), parsed)
 
 
 def _member(kind: T.StructType, name: str) -> Column:
@@ -60,7 +72,7 @@ def _column(df: DataFrame, name: str) -> Column:
 
 def text_member(name: str) -> Column:
     """Member kept as text."""
-    return scalar_text(F.col(PREFIX + name))
+    return scalar_text(F.col(PREFIX + name), name)
 
 
 def raw_member(name: str) -> Column:

@@ -22,12 +22,17 @@ from pampero.sources.schemas import (
 )
 
 
-def _replication_columns() -> list[Column]:
-    """Replication metadata cast to its types, also where a loader wrote text."""
-    return [
-        F.col(n).try_cast("timestamp" if n.endswith("_at") else "bigint").alias(n)
-        for n in REPLICATION
-    ]
+def _replication_columns(raw: DataFrame) -> list[Column]:
+    """Replication metadata cast to its types; text a loader wrote has to look like them."""
+    texts = dict(raw.dtypes)
+
+    def typed(name: str) -> Column:
+        is_time = name.endswith("_at")
+        if texts.get(name) == "string":
+            return (safe_timestamp if is_time else safe_long)(F.col(name))
+        return F.col(name).try_cast("timestamp" if is_time else "bigint")
+
+    return [typed(n).alias(n) for n in REPLICATION]
 
 
 def locations(raw: DataFrame) -> DataFrame:
@@ -48,7 +53,7 @@ def locations(raw: DataFrame) -> DataFrame:
         text_member("source_catalog").alias("source_catalog"),
         text_member("x_source_type").alias("source_type"),
         safe_timestamp(raw_member("x_loaded_at")).alias("source_loaded_at"),
-        *_replication_columns(),
+        *_replication_columns(raw),
     )
 
 
@@ -66,7 +71,7 @@ def weather(raw: DataFrame) -> DataFrame:
         text_member("x_source_type").alias("source_type"),
         safe_timestamp(raw_member("x_loaded_at")).alias("source_loaded_at"),
         *[safe_double(raw_member(v)).alias(name) for v, name, _, _ in WEATHER_VARIABLES],
-        *_replication_columns(),
+        *_replication_columns(raw),
     )
 
 
@@ -128,6 +133,6 @@ def legacy_weather(raw: DataFrame) -> DataFrame:
 
 
 def flattened_weather(raw: DataFrame) -> DataFrame:
-    """Raw weather with the payload members at top level, still as text."""
-    members = [raw_member(n).alias(n) for n in WEATHER_PAYLOAD.fieldNames()]
+    """Raw weather with the payload members at top level, still as text; nested ones are NULL."""
+    members = [text_member(n).alias(n) for n in WEATHER_PAYLOAD.fieldNames()]
     return with_payload(raw, WEATHER_PAYLOAD).select(*members, *REPLICATION)

@@ -27,22 +27,20 @@ from pampero.workspace import new_path
 
 TABLES = ["lineitem", "supplier", "nation", "region", "customer", "orders", "part"]
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
-CROPS = {"ECONOMY": "soja", "MEDIUM": "maíz", "SMALL": "trigo"}
+CROPS = {
+    "ECONOMY": "soja",
+    "MEDIUM": "maíz",
+    "SMALL": "trigo",
+    "STANDARD": "soja",
+    "LARGE": "maíz",
+    "PROMO": "trigo",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share a table read in fewer pieces than there are cores among all of them.
-
-    Verification tables are single small files. Large tables pass unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _every(key: Column, n: int) -> Column:
     return F.pmod(key, F.lit(n)) == 0
 
@@ -63,10 +61,7 @@ def _province(name: Column, nation: Column, second: Column) -> Column:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as flat raw weather: typed replication columns and text measures."""
     used = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select(*used, "l_extendedprice", "l_shipdate"),
-        "l_orderkey",
-    )
+    lines = table(spark, sf_dir, "lineitem").select(*used, "l_extendedprice", "l_shipdate")
     o, p, s, n = (F.col(c) for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
     shipped = F.col("l_shipdate").cast("timestamp")
 
@@ -146,8 +141,8 @@ def raw_weather(spark: SparkSession, sf_dir: str, form: str = "struct") -> DataF
 
 
 def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers with nation and region; every tenth is left out of the catalogue."""
-    suppliers = table(spark, sf_dir, "supplier").filter(~_every(F.col("s_suppkey"), 10))
+    """Suppliers with nation and region."""
+    suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
@@ -174,7 +169,7 @@ def raw_locations(spark: SparkSession, sf_dir: str, form: str = "struct") -> Dat
     extracted = start + F.make_interval(
         days=version * 30, hours=F.pmod(s, F.lit(24)).cast("int")
     )
-    deleted = _every(s, 21) | (_every(s, 7) & (version == 2))
+    deleted = _every(s, 10) | _every(s, 21) | (_every(s, 7) & (version == 2))
     payload = {
         "location_id": F.concat(F.lit("loc_"), s.cast("string")),
         "location_name": F.concat_ws(" ", F.lit("Estación"), s.cast("string"), version.cast("string")),
@@ -267,7 +262,7 @@ def yield_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines are summed per order and crop before they meet the orders, so an order or part with
     very many lines arrives there as a few rows.
     """
-    parts = table(spark, sf_dir, "part").filter(F.col("p_type").isin(list(CROPS)))
+    parts = table(spark, sf_dir, "part")
     crop = F.lit(None).cast("string")
     for kind, name in CROPS.items():
         crop = F.when(F.col("p_type") == kind, F.lit(name)).otherwise(crop)

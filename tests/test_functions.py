@@ -105,17 +105,18 @@ def test_campaign_starts_in_july(spark):
     assert rows["None"]["campaign_name"] is None
 
 
+# The published heat index regression.
 def rothfusz(t, r):
     return (
         -42.379
         + 2.04901523 * t
         + 10.14333127 * r
         - 0.22475541 * t * r
-        - 6.83783e-3 * t**2
-        - 5.481717e-2 * r**2
-        + 1.22874e-3 * t**2 * r
-        + 8.5282e-4 * t * r**2
-        - 1.99e-6 * t**2 * r**2
+        - 0.00683783 * t**2
+        - 0.05481717 * r**2
+        + 0.00122874 * t**2 * r
+        + 0.00085282 * t * r**2
+        - 0.00000199 * t**2 * r**2
     )
 
 

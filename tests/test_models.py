@@ -173,6 +173,49 @@ def test_upsert_rewrites_only_touched_months(spark):
     assert sorted(p.name for p in may.glob("*.parquet")) == before
 
 
+def test_upsert_opens_only_touched_months(spark):
+    from pampero.workspace import shared_folder as folder
+
+    table = new_path(spark, "t")
+    days = [reading("a", f"2024-{m:02}-01", 1, T2M=m) for m in range(1, 13)]
+    incremental.overwrite_months(daily(spark, *days), table, ["location_id"])
+    target = incremental.read_table(spark, table)
+    months = [r[0] for r in daily(spark, days[4]).select("month_start").distinct().collect()]
+    touched = target.where(F.col("month_start").isin(months))
+    explain = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString
+    plan = explain(touched._jdf.queryExecution(), "formatted")
+    filters = next(x for x in plan.splitlines() if x.startswith("PartitionFilters"))
+    assert "month_start" in filters and "dynamicpruning" not in filters
+    before = set(Path(folder(spark).removeprefix("file:"), "pampero").glob("*"))
+    incremental.upsert(daily(spark, reading("a", "2024-05-01", 2, T2M=9)), table, legacy.KEY, ["location_id"])
+    assert set(Path(folder(spark).removeprefix("file:"), "pampero").glob("*")) == before
+
+
+def test_a_load_that_dies_between_months_loses_nothing(spark, monkeypatch):
+    table, mark = new_path(spark, "t"), "_sdc_extracted_at"
+
+    def load(*readings):
+        raw = staging.flattened_weather(raw_readings(spark, *readings))
+        incremental.load_new(raw, table, mark, legacy.daily, legacy.KEY, ["location_id"])
+
+    first = [reading("a", "2024-05-01", 1, T2M=1), reading("a", "2024-06-01", 1, T2M=1)]
+    load(*first)
+    whole, write = incremental.overwrite_months, incremental.overwrite_months
+
+    def die(df, path, cluster_by):
+        write(df.where(F.month("month_start") == 6), path, cluster_by)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(incremental, "overwrite_months", die)
+    second = [*first, reading("a", "2024-05-01", 2, T2M=2), reading("a", "2024-06-01", 2, T2M=2)]
+    with pytest.raises(RuntimeError):
+        load(*second)
+    monkeypatch.setattr(incremental, "overwrite_months", whole)
+    load(*second)
+    stored = incremental.read_table(spark, table).select(F.month("date"), "t2m")
+    assert rows(stored) == [(5, 2.0), (6, 2.0)]
+
+
 def test_stream_loads_each_file_once_and_survives_a_restart(spark, tmp_path):
     source, table, progress = (str(tmp_path / n) for n in ("raw", "table", "progress"))
 
@@ -193,9 +236,7 @@ def test_stream_loads_each_file_once_and_survives_a_restart(spark, tmp_path):
 
 
 def test_shared_folder_is_the_configured_one(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        assert shared_folder(spark) == named.rstrip("/")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert new_path(spark, "x") != new_path(spark, "x")
 
 

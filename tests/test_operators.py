@@ -45,6 +45,26 @@ def test_payload_forms_agree(spark):
     assert rows(with_payload(struct, AB).select("i", *picked)) == [(0, "x", None), (1, None, None)]
 
 
+def test_text_is_told_from_nested_values_by_type(spark):
+    texts = [
+        '{"a": "[Norte] Punto 4", "b": "1"}',
+        '{"a": "{x} dep"}',
+        '{"a": {"k": "v"}}',
+        '{"a": ["v"]}',
+        '{"a": "[1]"}',
+    ]
+    want = ["[Norte] Punto 4", "{x} dep", None, None, "[1]"]
+    raw = spark.createDataFrame(list(enumerate(texts)), "i int, data string")
+    got = with_payload(raw, AB).select("i", text_member("a"))
+    assert [r[1] for r in rows(got)] == want
+    variant = raw.withColumn("data", F.parse_json("data"))
+    assert [r[1] for r in rows(with_payload(variant, AB).select("i", text_member("a")))] == want
+    flat = spark.createDataFrame([(0, "[x]"), (1, "{y}")], "i int, a string")
+    assert [r[1] for r in rows(with_payload(flat, AB).select("i", text_member("a")))] == ["[x]", "{y}"]
+    struct = spark.createDataFrame([(0, ("[x]",))], "i int, data struct<a:string>")
+    assert [r[1] for r in rows(with_payload(struct, AB).select("i", text_member("a")))] == ["[x]"]
+
+
 def test_best_row_does_not_depend_on_partitioning(spark):
     data = [("k", 1, v) for v in range(50)] + [("z", None, 1), ("z", 0, 0)]
     for parts in (1, 3, 7):
@@ -95,7 +115,8 @@ def test_checks(spark):
     assert rows(checks.relationship(df, "k", parent, "id")) == [("a", 2)]
     failing = checks.expression(df, F.col("v") >= 0, where=F.col("v").isNotNull())
     assert rows(failing) == [("a", -1.0)]
-    assert checks.expression(df, F.col("v") >= 0).count() == 2  # unknown fails
+    assert checks.expression(df, F.col("v") >= 0).count() == 1  # unknown passes
+    assert checks.expression(df, F.col("v") >= 0, strict=True).count() == 2
 
 
 def test_coverage(spark):

@@ -638,9 +638,7 @@ def _(spark, d):
     mark, cluster_by = "_sdc_extracted_at", streaming.CLUSTER_BY
 
     def load(rows: DataFrame) -> None:
-        target = incremental.read_table(spark, table)
-        fresh = incremental.new_rows(rows, target, mark)
-        incremental.upsert(legacy.daily(fresh), table, legacy.KEY, cluster_by)
+        incremental.load_new(rows, table, mark, legacy.daily, legacy.KEY, cluster_by)
 
     load(source.filter(FIRST_LOAD))
     load(source)
@@ -660,7 +658,7 @@ def _(spark, d):
     "streaming_upsert",
     sql.chain("legacy_daily")
     + f"""SELECT {sql.columns(sql.LEGACY_COLUMNS)} FROM (SELECT *, row_number() OVER (
-    PARTITION BY location_id, date ORDER BY {sql.newest(*streaming.VERSION)}) AS rn
+    PARTITION BY location_id, date ORDER BY {sql.newest(*sql.VERSION)}) AS rn
     FROM legacy_daily) WHERE rn = 1""",
 )
 def _(spark, d):

@@ -9,7 +9,38 @@ the last bit would decide.
 
 from __future__ import annotations
 
-from pampero.sources.schemas import MEASURES, REPLICATION, WEATHER_VARIABLES
+# Source variable, name of the measure, its first-generation name.
+VARIABLES = [
+    ("T2M_MAX", "max_air_temp_c", "t2m_max"),
+    ("T2M_MIN", "min_air_temp_c", "t2m_min"),
+    ("T2M", "avg_air_temp_c", "t2m"),
+    ("T2MDEW", "dew_point_temp_c", "t2m_dew"),
+    ("T2MWET", "wet_bulb_temp_c", "t2m_wet"),
+    ("TS", "soil_surface_temp_c", "soil_temperature"),
+    ("PRECTOTCORR", "precipitation_mm", "precipitation_corrected"),
+    ("RH2M", "relative_humidity_pct", "relative_humidity_2m"),
+    ("QV2M", "specific_humidity_kg_kg", "specific_humidity_2m"),
+    ("ALLSKY_SFC_SW_DWN", "solar_radiation_allsky_mj_m2_day", "solar_radiation_allsky"),
+    ("CLRSKY_SFC_SW_DWN", "solar_radiation_clearsky_mj_m2_day", "solar_radiation_clearsky"),
+    ("WS2M", "wind_speed_mps", "wind_speed_2m"),
+    ("WS2M_MAX", "wind_speed_max_mps", "wind_speed_2m_max"),
+    ("WD2M", "wind_direction_deg", "wind_direction_2m"),
+    ("PS", "surface_pressure_kpa", "surface_pressure"),
+    ("CLOUD_AMT", "cloud_cover_pct", "cloud_amount"),
+]
+MEASURES = [measure for _, measure, _ in VARIABLES]
+
+REPLICATION = [
+    "_sdc_extracted_at",
+    "_sdc_received_at",
+    "_sdc_batched_at",
+    "_sdc_deleted_at",
+    "_sdc_sequence",
+    "_sdc_table_version",
+]
+
+# What tells the newer of two snapshots of a day.
+VERSION = ["_sdc_extracted_at", "_sdc_sequence"]
 
 CUT = 0.3137
 
@@ -93,8 +124,8 @@ def _measures(names: dict[str, str]) -> str:
     )
 
 
-_CANONICAL = {source: canonical for source, canonical, _, _ in WEATHER_VARIABLES}
-_LEGACY = {source: old for source, _, old, _ in WEATHER_VARIABLES}
+_CANONICAL = {source: canonical for source, canonical, _ in VARIABLES}
+_LEGACY = {source: old for source, _, old in VARIABLES}
 LEGACY_MEASURES = list(_LEGACY.values())
 
 _STAMPS = """
@@ -142,12 +173,13 @@ _RH = "relative_humidity_pct"
 _KPH = "(wind_speed_mps * 3.6e0)"
 
 
+# The published heat index regression and wind chill formula.
 def _regression(t: str, r: str) -> str:
     return (
         f"-42.379e0 + 2.04901523e0 * {t} + 10.14333127e0 * {r} - 0.22475541e0 * {t} * {r}"
-        f" - 6.83783e-3 * pow({t}, 2) - 5.481717e-2 * pow({r}, 2)"
-        f" + 1.22874e-3 * pow({t}, 2) * {r} + 8.5282e-4 * {t} * pow({r}, 2)"
-        f" - 1.99e-6 * pow({t}, 2) * pow({r}, 2)"
+        f" - 0.00683783e0 * pow({t}, 2) - 0.05481717e0 * pow({r}, 2)"
+        f" + 0.00122874e0 * pow({t}, 2) * {r} + 0.00085282e0 * {t} * pow({r}, 2)"
+        f" - 0.00000199e0 * pow({t}, 2) * pow({r}, 2)"
     )
 
 
@@ -328,8 +360,7 @@ FROM stg WHERE location_id IS NOT NULL AND date IS NOT NULL AND _sdc_deleted_at
     "located": (
         [],
         """SELECT s_suppkey AS s, n_name, n_nationkey, r_name FROM supplier
-JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE s_suppkey % 10 <> 0""",
+JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     ),
     "loc_versions": (
         ["located"],
@@ -352,7 +383,7 @@ FROM located CROSS JOIN (VALUES (1), (2)) AS versions(v)""",
     CASE WHEN s % 13 = 0 THEN NULL ELSE taken END AS source_loaded_at,
     taken AS _sdc_extracted_at, taken + to_minutes(1) AS _sdc_received_at,
     taken + to_minutes(2) AS _sdc_batched_at,
-    CASE WHEN s % 21 = 0 OR (s % 7 = 0 AND v = 2) THEN taken END AS _sdc_deleted_at,
+    CASE WHEN s % 10 = 0 OR s % 21 = 0 OR (s % 7 = 0 AND v = 2) THEN taken END AS _sdc_deleted_at,
     CAST(10 * s + v AS BIGINT) AS _sdc_sequence, CAST(1 AS BIGINT) AS _sdc_table_version
 FROM loc_versions""",
     ),
@@ -475,13 +506,14 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_n
         f"""SELECT crop, began, province, n_nationkey, segment, sum(l_quantity) AS sown,
     sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS harvested,
     CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100000 AS tonnes
-FROM (SELECT CASE p_type WHEN 'ECONOMY' THEN 'soja' WHEN 'MEDIUM' THEN 'maíz' ELSE 'trigo' END AS crop,
+FROM (SELECT CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'soja'
+            WHEN p_type IN ('MEDIUM', 'LARGE') THEN 'maíz' ELSE 'trigo' END AS crop,
         CAST(year(o_orderdate - INTERVAL 6 MONTH) AS BIGINT) AS began,
         {_province("'Río ' || n_name")} AS province, n_nationkey, c_mktsegment AS segment,
         l_quantity, l_extendedprice, l_linestatus
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    WHERE p_type IN ('ECONOMY', 'MEDIUM', 'SMALL'))
+    WHERE p_type IN ('ECONOMY', 'MEDIUM', 'SMALL', 'STANDARD', 'LARGE', 'PROMO'))
 GROUP BY ALL""",
     ),
     "stg_yields": (
