@@ -7,8 +7,9 @@ size, are skipped over in blocks of sizes too far apart, and two sets whose posi
 little room behind the member are skipped as well.
 
 Relations between sets save the rest. Equal sets are one class. In each block of a list every set
-is first compared with the block's first set only, which yields one pair per set however many near
-copies there are. Sets found alike are one component, inside which nothing is compared again.
+is first compared with the block's first set only, then with one of the largest component a few
+times, which yields one pair per set and time however many near copies there are. Sets found
+alike are one component, inside which nothing is compared again.
 Across components the answer for a set is derived from the answer of the similar set it was
 matched with, r: with known ``|x \\ r|`` and ``|r \\ x|``, the overlap of r and y bounds the
 overlap of x and y from both sides, and only pairs the bounds leave open are counted out.
@@ -40,9 +41,11 @@ PERCENT = 80
 SPACES = b" \t\n\v\f\r"
 
 #: A member is frequent, and ordered last, if it occurs this often and makes up this share of
-#: all occurrences: at most 500,000 members are. Only the order depends on it, no result.
-FREQUENT = 64
-FREQUENT_SHARE = 500_000
+#: all occurrences: at most two million members are. Input tasks report what they meet
+#: ``NOTABLE`` times. Only the order depends on it, no result.
+FREQUENT = 16
+FREQUENT_SHARE = 2_000_000
+NOTABLE = 2
 
 #: Prefix members a list task holds at most, about.
 LIST_MEMBERS = 2_000_000
@@ -50,6 +53,9 @@ LIST_MEMBERS = 2_000_000
 #: Least bits of a signature; a larger set has the power of two from twice its size on.
 SIGNATURE_BITS = 1024
 
+#: Times a block's sets are compared with one set each, before what is left is compared in full.
+ROUNDS = 5
+
 #: Cells of the filter that keeps texts nobody asks for out of a join.
 FILTER_BITS = 24
 
@@ -100,7 +106,7 @@ def frequent_members(docs: DataFrame, k: int) -> np.ndarray:
         for batch in slices(batches, "body"):
             held += shingle_sets(words(buffers(batch, "body")), k)
         members, n = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
-        notable = n >= FREQUENT // 8
+        notable = n >= NOTABLE
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.append(members[notable].view(np.int64), 0)),
@@ -118,12 +124,9 @@ def frequent_members(docs: DataFrame, k: int) -> np.ndarray:
         "frequent",
     )
     total = found.where("all").agg(F.sum("n")).first()[0] or 0
-    rows = (
-        found.where(~F.col("all") & (F.col("n") >= max(FREQUENT, total // FREQUENT_SHARE)))
-        .select("member")
-        .collect()
-    )
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    least = max(FREQUENT, -(-total // FREQUENT_SHARE))
+    rows = found.where(~F.col("all") & (F.col("n") >= least)).select("member").toArrow()
+    return np.sort(rows.column("member").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -374,20 +377,28 @@ def jaccard_links(
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
     )
-    first = stage(plausible(first_pairs, reps, percent), "set-pairs")
-    sets_a = members_of(docs, reps, endpoints(first), k)
-    counted = stage(overlaps(first, stage(sets_a, "sets")), "set-overlaps")
-    links = counted.where(alike(F.col("overlap"), F.col("na"), F.col("nb"), percent))
-    roots = stage(components(links.select("a", "b")), "roots")
+    links, tried, roots = None, None, None
+    pairs = first_pairs
+    for turn in range(ROUNDS):
+        plain = stage(plausible(pairs, reps, percent), "set-pairs")
+        if turn and plain.isEmpty():
+            break
+        sets = stage(members_of(docs, reps, endpoints(plain), k), "sets")
+        counted = stage(overlaps(plain, sets), "set-overlaps")
+        found = counted.where(alike(F.col("overlap"), F.col("na"), F.col("nb"), percent))
+        tried = plain if tried is None else tried.union(plain)
+        links = found if links is None else links.union(found)
+        roots = stage(components(links.select("a", "b")), "roots")
+        known = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pairs = other_heads(known.select("*", block), turn, percent).join(
+            tried.select("a", "b"), ["a", "b"], "left_anti"
+        )
+    first = tried
 
     # The similar set each set was matched with, and how far apart the two are.
     nearest = links.groupBy(F.col("b").alias("node")).agg(
         F.max_by(F.struct("a", "na", "nb", "overlap"), "overlap").alias("to")
     )
-    known = (
-        entries.join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-    )
     mixed = (
         known.groupBy("member")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -445,6 +456,29 @@ def jaccard_links(
     return stage(member_rows, "set-members"), stage(found, "set-links")
 
 
+def other_heads(known: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each set in a block with one set of the block's largest component, another
+    in every turn, unless it belongs to that component already."""
+    entry = F.struct("node", "n", "place", "root")
+    heads = (
+        known.groupBy("member", "block", "root")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min_by(entry, F.xxhash64("node", F.lit(turn))).alias("entry"),
+        )
+        .groupBy("member", "block")
+        .agg(F.max_by("entry", F.struct("size", "root")).alias("head"))
+        .select("member", "block", "head.*")
+    )
+    return (
+        known.alias("y")
+        .join(heads.alias("x"), ["member", "block"])
+        .where((F.col("x.root") != F.col("y.root")) & room(percent))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct()
+    )
+
+
 def endpoints(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
