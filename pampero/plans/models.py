@@ -93,7 +93,9 @@ class Models:
 
     @cached_property
     def yields(self) -> DataFrame:
-        return marts.yields_by_province(staging.yields(_open(self.yield_csv)))
+        # Read by the fact and, for its provinces, by the dimension the fact is joined with.
+        yields = marts.yields_by_province(staging.yields(_open(self.yield_csv)))
+        return self.keep(yields, "yields")
 
     @cached_property
     def province_mentions(self) -> DataFrame:
@@ -101,7 +103,7 @@ class Models:
 
     @cached_property
     def dim_province(self) -> DataFrame:
-        return dimensions.dim_province(self.province_mentions)
+        return self.keep(dimensions.dim_province(self.province_mentions), "dim_province")
 
     @cached_property
     def fct_tax(self) -> DataFrame:

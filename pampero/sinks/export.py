@@ -12,27 +12,45 @@ from pyspark.sql import functions as F
 EXPORTABLE = {"MANAGED": "TABLE", "EXTERNAL": "TABLE", "VIEW": "VIEW"}
 
 
-def discover(spark: SparkSession, databases: list[str]) -> dict[str, DataFrame]:
+class Relations(dict):
+    """Relations by export name, with how they were found and what each is in the catalogue."""
+
+    def __init__(self, mode: str):
+        super().__init__()
+        self.mode = mode
+        self.kinds: dict[str, str] = {}
+        self.names: dict[str, str] = {}
+
+    def add(self, spark: SparkSession, relation: str, name: str) -> None:
+        kind = spark.catalog.getTable(name).tableType
+        self[relation] = spark.table(name)
+        self.kinds[relation] = EXPORTABLE.get(kind, "VIEW")
+        self.names[relation] = name
+
+
+def discover(spark: SparkSession, databases: list[str]) -> Relations:
     """Every exportable table and view of the databases, as ``database/table``.
 
     Databases are taken once, in order; one that does not exist is skipped.
     """
-    found = {}
+    found = Relations("auto")
     for database in dict.fromkeys(databases):
         if not spark.catalog.databaseExists(database):
             continue
         for entry in spark.catalog.listTables(database):
             if entry.tableType in EXPORTABLE and not entry.isTemporary:
-                name = f"{database}.{entry.name}"
-                found[f"{database}/{entry.name}"] = spark.table(name)
+                found.add(spark, f"{database}/{entry.name}", f"{database}.{entry.name}")
     return found
 
 
-def named_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
+def named_tables(spark: SparkSession, names: dict[str, str]) -> Relations:
     """Relations from an explicit map of export name to table name."""
     if not names:
         raise ValueError("name at least one table to export")
-    return {out.removesuffix(".json"): spark.table(table) for out, table in names.items()}
+    found = Relations("explicit")
+    for out, name in names.items():
+        found.add(spark, out.removesuffix(".json"), name)
+    return found
 
 
 def write_ndjson(df: DataFrame, path: str) -> int:
@@ -68,15 +86,18 @@ def export(
     spark: SparkSession,
     relations: dict[str, DataFrame],
     out: str,
-    mode: str = "explicit",
     manifest_name: str = "export_manifest",
 ) -> DataFrame:
     """Export every relation to ``out/<dataset>/<table>`` and write the manifest.
 
     Two manifest tables are written: the runs, one line per relation with file and row count,
     and beside it ``<manifest_name>_files``, one line per file in name order. The file list
-    is a table of its own because it grows with the data.
+    is a table of its own because it grows with the data. A run names its mode by how the
+    relations were found: ``auto`` if discovered. A stored table is scanned, a view or a plain
+    DataFrame is a query.
     """
+    mode = getattr(relations, "mode", "explicit")
+    kinds, names = getattr(relations, "kinds", {}), getattr(relations, "names", {})
     if manifest_name in ("", ".", "..") or PurePosixPath(manifest_name).name != manifest_name:
         raise ValueError(f"not a single path component: {manifest_name!r}")
     generated_at = datetime.now(timezone.utc).isoformat()
@@ -84,19 +105,27 @@ def export(
     for relation, df in relations.items():
         rows = write_ndjson(df, f"{out}/{relation}")
         dataset, _, table = relation.rpartition("/")
-        records.append((relation, dataset, table, rows))
+        kind = kinds.get(relation, "QUERY")
+        method = "scan" if kind == "TABLE" else "query"
+        name = names.get(relation, relation.replace("/", "."))
+        records.append((relation, dataset, table, name, kind, method, rows))
         listing = exported_files(spark, out, relation)
         files = listing if files is None else files.unionByName(listing)
     files.orderBy("relation", "file").write.mode("overwrite").json(f"{out}/{manifest_name}_files")
     counted = files.groupBy("relation").agg(F.count("*").alias("file_count"))
     header = spark.createDataFrame(
-        records, "relation string, dataset string, table string, row_count bigint"
+        records,
+        "relation string, dataset string, table string, qualified_name string, "
+        "relation_type string, export_method string, row_count bigint",
     )
     manifest = header.join(counted, "relation", "left").select(
         F.lit(generated_at).alias("generated_at"),
         F.lit(mode).alias("mode"),
         "dataset",
         "table",
+        "qualified_name",
+        "relation_type",
+        "export_method",
         F.concat(F.lit(f"{out}/"), "relation", F.lit("/*.json")).alias("files"),
         F.coalesce("file_count", F.lit(0)).alias("file_count"),
         "row_count",

@@ -55,14 +55,14 @@ def test_text_is_told_from_nested_values_by_type(spark):
     ]
     want = ["[Norte] Punto 4", "{x} dep", None, None, "[1]"]
     raw = spark.createDataFrame(list(enumerate(texts)), "i int, data string")
-    got = with_payload(raw, AB).select("i", text_member("a"))
+    got = with_payload(raw, AB).select("i", text_member("a").alias("a"))
     assert [r[1] for r in rows(got)] == want
     variant = raw.withColumn("data", F.parse_json("data"))
-    assert [r[1] for r in rows(with_payload(variant, AB).select("i", text_member("a")))] == want
+    assert [r[1] for r in rows(with_payload(variant, AB).select("i", text_member("a").alias("a")))] == want
     flat = spark.createDataFrame([(0, "[x]"), (1, "{y}")], "i int, a string")
-    assert [r[1] for r in rows(with_payload(flat, AB).select("i", text_member("a")))] == ["[x]", "{y}"]
+    assert [r[1] for r in rows(with_payload(flat, AB).select("i", text_member("a").alias("a")))] == ["[x]", "{y}"]
     struct = spark.createDataFrame([(0, ("[x]",))], "i int, data struct<a:string>")
-    assert [r[1] for r in rows(with_payload(struct, AB).select("i", text_member("a")))] == ["[x]"]
+    assert [r[1] for r in rows(with_payload(struct, AB).select("i", text_member("a").alias("a")))] == ["[x]"]
 
 
 def test_best_row_does_not_depend_on_partitioning(spark):

@@ -7,6 +7,9 @@ from verification.catalog import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
+#: Queries whose rows are too rare for the smallest tables.
+MAY_BE_EMPTY = {"check_not_null", "check_relationships"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -16,4 +19,6 @@ def con():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     found = differences(spark, con, QUERIES[name], ORACLES[name], DATA)
-    assert [f for f in found if not f.startswith("no rows")] == []
+    if name in MAY_BE_EMPTY:
+        found = [f for f in found if not f.startswith("no rows")]
+    assert found == []
