@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pampero.workspace import stage  # noqa: F401  (for the operators)
+from pampero.workspace import new_path
 
 #: Bytes of text handled at once inside a task; one longer text is handled alone.
 SLICE_BYTES = 1 << 18
@@ -27,6 +27,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a relation once into the shared folder and return it as a table scan.
+
+    What is read by several later steps is worked out once, numbers given to rows stay what they
+    are, and a lost executor costs a re-read. Texts make up most of it, hence the dense codec.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_bytes(column: str = "text") -> Column:
     """The whole text as UTF-8 bytes; null is empty."""
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")

@@ -34,7 +34,7 @@ CLASSES = OWN_CLASSES + SHARED_CLASSES
 #: The counts of others are joined.
 DICTIONARY_SHARE = 1_000_000
 
-CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 4, 32, 64, 256, 0.15, 11
+CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 4, 32, 48, 512, 0.2, 11
 
 #: The token that ends every text; no hash of a word is made to equal it.
 END = 1

@@ -480,11 +480,8 @@ FOUND = "rank long, variant long, start long"
 
 def repeats_of(opened: DataFrame, length: int) -> DataFrame:
     """``rank, variant, start`` of open windows that a smaller document has too."""
-    pieces = stage(
-        opened.select("rank", "variant", F.explode("open").alias("o")).select(
-            "rank", "variant", "o.*"
-        ),
-        "open-pieces",
+    pieces = opened.select("rank", "variant", F.explode("open").alias("o")).select(
+        "rank", "variant", "o.*"
     )
     sizes = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     hot = sizes.where(F.col("n") > HOT_KEY).select("key")
