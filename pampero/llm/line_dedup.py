@@ -141,6 +141,11 @@ def within_edits(s: Column, t: Column, edits: int) -> Column:
         return total
 
     def column(a, j):
+        # Cells of a column differ from the lowest diagonal's by the band's width at most: past
+        # this score none is within reach, and the rest of the columns is passed over.
+        return F.when(a["score"] > 3 * edits, a).otherwise(next_column(a, j))
+
+    def next_column(a, j):
         # Two structs, one after the other, so that each vector is worked out once.
         seen = F.transform(F.array(matches(a, j)), lambda x: x)
         return F.element_at(

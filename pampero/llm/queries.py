@@ -190,6 +190,43 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
 
 
+ORACLES["op7_suffix_dedup"] = """
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+),
+windows AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+    FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM texts)
+),
+firsts AS (SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w),
+met AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE first_id < doc_id),
+marked AS (
+    SELECT doc_id, i,
+        CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new
+    FROM met
+),
+numbered AS (
+    SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+),
+runs AS (
+    SELECT doc_id, run, min(i) AS low, max(i) + 50 AS high FROM numbered GROUP BY doc_id, run
+),
+gaps AS (
+    SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS behind
+    FROM runs
+),
+kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * behind + 1, 2 * (low - behind)), '' ORDER BY low)
+            || substr(any_value(h), 2 * max(high) + 1) AS rest,
+        sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
 @register
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=5, percent=80)
