@@ -110,9 +110,17 @@ def without_common_ends(pairs: DataFrame) -> DataFrame:
     return pairs
 
 
-def within_edits(s: Column, t: Column, edits: int) -> Column:
+def characters(text: Column, edits: int) -> Column:
+    """A string's characters behind a beginning that all strings get: it changes no distance, and
+    leaves none shorter than a band."""
+    return F.split(F.concat(F.lit("\u0001" * (edits + 1)), text), "")
+
+
+def within_edits(rows: Column, columns: Column, edits: int) -> Column:
     """Whether two strings, whose lengths differ by ``edits`` at most, are that near.
 
+    Both are columns of `characters`, worked out before: an expression would be worked out anew
+    in every step.
     Column j of the distance matrix is kept as differences of neighbouring cells on the
     ``2 * edits + 1`` diagonals about the main one, a bit each for +1 and -1; the band moves one
     row down with each column. The score follows the band's lowest diagonal to the last row, then
@@ -120,23 +128,17 @@ def within_edits(s: Column, t: Column, edits: int) -> Column:
     """
     band = 2 * edits + 1
     full = (1 << band) - 1
-    # The same beginning for both changes no distance, and leaves no string shorter than a band.
-    ahead = "\u0001" * (edits + 1)
-    chars = lambda c: F.split(F.concat(F.lit(ahead), c), "")
-    rows, columns = chars(s), chars(t)
     state = F.struct(
-        rows.alias("rows"),
-        columns.alias("columns"),
         F.lit(((1 << (edits + 1)) - 1) << edits).cast("long").alias("up"),
         F.lit(0).cast("long").alias("down"),
         F.lit(edits).alias("score"),
     )
     big = lambda n: F.lit(n).cast("long")
 
-    def matches(a, j):
+    def matches(j):
         total = big(0)
         for b in range(band):
-            equal = F.get(a["rows"], j - edits + b) == F.get(a["columns"], j)
+            equal = F.get(rows, j - edits + b) == F.get(columns, j)
             total = total + F.when(equal, big(1 << b)).otherwise(big(0))
         return total
 
@@ -147,7 +149,7 @@ def within_edits(s: Column, t: Column, edits: int) -> Column:
 
     def next_column(a, j):
         # Two structs, one after the other, so that each vector is worked out once.
-        seen = F.transform(F.array(matches(a, j)), lambda x: x)
+        seen = F.transform(F.array(matches(j)), lambda x: x)
         return F.element_at(
             F.transform(
                 F.transform(
@@ -168,11 +170,9 @@ def within_edits(s: Column, t: Column, edits: int) -> Column:
         right = a["down"].bitwiseOR(F.bitwise_not(level.bitwiseOR(a["up"]))).bitwiseAND(big(full))
         left = level.bitwiseAND(a["up"])
         lower = F.shiftright(level, 1)
-        last = F.size(a["rows"]) - 1 - j + edits  # bit of the last row in this column
+        last = F.size(rows) - 1 - j + edits  # bit of the last row in this column
         at_last = lambda v: F.call_function("shiftright", v, last).bitwiseAND(big(1)).cast("int")
         return F.struct(
-            a["rows"].alias("rows"),
-            a["columns"].alias("columns"),
             left.bitwiseOR(F.bitwise_not(lower.bitwiseOR(right))).bitwiseAND(big(full)).alias("up"),
             lower.bitwiseAND(right).alias("down"),
             (
@@ -207,8 +207,11 @@ def near_pairs(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, edits: int
         "t",
     )
     # Stored: a condition on the ends taken off would be rewritten in terms of whole lines.
-    named = stage(without_common_ends(named), "line-pairs")
-    return named.where(within_edits(F.col("s"), F.col("t"), edits)).select("later", "earlier")
+    ends = without_common_ends(named).select(
+        "later", "earlier", *[characters(F.col(c), edits).alias(c) for c in "st"]
+    )
+    ends = stage(ends, "line-pairs")
+    return ends.where(within_edits(F.col("s"), F.col("t"), edits)).select("later", "earlier")
 
 
 def texts_of(lines: DataFrame, pairs: DataFrame) -> DataFrame:
