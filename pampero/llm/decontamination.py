@@ -87,8 +87,10 @@ def context(table, d: int, place: int, span: int) -> tuple[str, str]:
 
 
 def common_words(a: str, b: str) -> int:
+    """How many words both begin with. Words hold any sign beyond ASCII, so that only the blanks
+    put between them part them."""
     n = 0
-    for x, y in zip(a.split(), b.split()):
+    for x, y in zip(a.split(" ") if a else [], b.split(" ") if b else []):
         if x != y:
             break
         n += 1

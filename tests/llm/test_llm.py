@@ -208,6 +208,37 @@ def test_every_shared_window_is_found(spark):
         assert got[i].items_sha256 == hashlib.sha256(",".join(sorted(met)).encode()).hexdigest()
 
 
+def brute_force_hits(words, items, window=10):
+    hit, met = set(), set()
+    for j, item in enumerate(items):
+        n = min(len(item), window)
+        for a in range(len(words) - n + 1) if n else ():
+            if any(words[a : a + n] == item[b : b + n] for b in range(len(item) - n + 1)):
+                met.add(str(j))
+                hit.update(range(a, a + n))
+    return len(hit), len(met)
+
+
+def test_signs_that_only_python_takes_for_blanks_are_words(spark):
+    """No-break and ideographic spaces, line separators and the like are parts of words."""
+    prepare(spark)
+    rng = random.Random(6)
+    kinds = ["a", "b", "c", "\u00a0", "\u3000", "\u2028", "a\u00a0b", "\u0085", "\u202fc", "b\u2009"]
+    items = [rng.choices(kinds, k=n) for n in (1, 3, 10, 10, 10, 14, 25)]
+    texts = []
+    for _ in range(40):
+        words = rng.choices(kinds, k=rng.randrange(30))
+        item = rng.choice(items)
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = item[: rng.randrange(8, 26)]
+        texts.append(words)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.decontaminate(docs, bench).collect()}
+    for i, words in enumerate(texts):
+        assert (got[i].n_words, got[i].n_hit, got[i].n_items) == (len(words), *brute_force_hits(words, items))
+
+
 # --- duplicates ----------------------------------------------------------------------------------
 
 
