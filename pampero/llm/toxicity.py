@@ -1,9 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are words hashed into buckets; a text is the set of its buckets. All labelled rows to learn
-from say how each bucket goes with the label, and the most telling buckets become the features.
-The machine gives each feature a weight and a vector, and scores a text by its weights and by
-the products of all pairs of its vectors, so that two terms harmless alone can tell together.
+Terms are words hashed into buckets; a text is the set of its buckets. Every bucket seen in the
+rows to fit on has a weight and a vector, and a text is scored by its weights and by the products
+of all pairs of its vectors, so that two terms harmless alone can tell together. No term is left
+out beforehand: what chance alone would teach, the penalties of the fit take back to zero.
 """
 
 from __future__ import annotations
@@ -15,20 +15,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pampero.llm.common import Words, buffers, slices, stage, text_bytes
+from pampero.llm.common import Words, buffers, slices, text_bytes
 
 BUCKET_BITS = 18
-FEATURES = 1024
 FACTORS = 8
 
-#: Least gain in log-likelihood that makes a bucket a feature: chance alone seldom gives it.
-TELLING = 12.0
-
-#: Labelled rows the machine is fitted on at most, first by a hash of their id. The counts that
-#: choose the features are over all labelled rows.
+#: Labelled rows the machine is fitted on at most, first by a hash of their id.
 FIT_ROWS = 20_000
 
-EPOCHS, BATCH, RATE, DECAY, SEED = 40, 256, 0.05, 5e-5, 7
+EPOCHS, BATCH, RATE, START, SEED = 20, 256, 0.3, 0.1, 7
+
+#: Penalty on the size of a weight and on the length of a vector, against the log-loss summed
+#: over the rows: a term that is in one or two rows of a label alone cannot outweigh it.
+WEIGHT_PENALTY, VECTOR_PENALTY = 1.0, 0.3
 
 #: Bytes below 0x80 that no term contains: all but digits and letters.
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -54,98 +53,77 @@ class Machine:
 
     def score(self, present: np.ndarray) -> float:
         v = self.vectors[present]
-        pairs = 0.5 * float((v.sum(axis=0) ** 2 - (v**2).sum(axis=0)).sum())
+        pairs = 0.5 * float((v.sum(axis=0) ** 2 - (v**2).sum(axis=0)).sum()) / max(len(v), 1)
         total = self.bias + float(self.weights[present].sum()) + pairs
         return float(1 / (1 + np.exp(-np.clip(total, -60, 60))))
 
 
 def fit(features: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, n: int) -> Machine:
-    """Log-loss over the rows by adaptive steps; the same rows always give the same machine."""
+    """Penalised log-loss over the rows by adaptive steps; the same rows always give the same
+    machine.
+
+    A step moves only the terms of its rows. Penalties of the steps between are made up for when
+    a term comes again, and at the end. Pairs are divided by the number of terms, since a long
+    text has more of them by the square.
+    """
     rng = np.random.default_rng(SEED)
     share = np.clip(labels.mean(), 1e-4, 1 - 1e-4)
-    params = {
-        "bias": np.array([np.log(share / (1 - share))]),
-        "weights": np.zeros(n),
-        "vectors": rng.normal(0, 0.05, (n, FACTORS)),
-    }
-    first = {k: np.zeros_like(v) for k, v in params.items()}
-    second = {k: np.zeros_like(v) for k, v in params.items()}
-    step = 0
+    bias, bias_squares = float(np.log(share / (1 - share))), 1.0
+    # The weight, then the vector.
+    params = np.zeros((n, 1 + FACTORS))
+    params[:, 1:] = rng.normal(0, START, (n, FACTORS))
+    squares = np.ones_like(params)
+    settled = np.zeros(n)
+    sizes = np.array([len(r) for r in rows])
+    seen = 0
+
+    def settle(f):
+        rate = RATE / np.sqrt(squares[f]) * ((seen - settled[f]) / len(rows))[:, None]
+        p = params[f]
+        p[:, 0] = np.sign(p[:, 0]) * np.maximum(np.abs(p[:, 0]) - WEIGHT_PENALTY * rate[:, 0], 0)
+        length = np.maximum(np.sqrt((p[:, 1:] ** 2).sum(axis=1)), 1e-12)
+        left = 1 - VECTOR_PENALTY * rate[:, 1:].mean(axis=1) / length
+        p[:, 1:] *= np.maximum(left, 0)[:, None]
+        params[f], settled[f] = p, seen
+        return p
+
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             picked = order[at : at + BATCH]
-            x = np.zeros((len(picked), n))
-            for i, r in enumerate(picked):
-                x[i, rows[r]] = 1
-            xv = x @ params["vectors"]
-            squares = x @ (params["vectors"] ** 2)
-            total = params["bias"] + x @ params["weights"] + 0.5 * (xv**2 - squares).sum(axis=1)
-            slope = (1 / (1 + np.exp(-np.clip(total, -60, 60))) - labels[picked]) / len(picked)
-            gradient = {
-                "bias": np.array([slope.sum()]),
-                "weights": x.T @ slope + DECAY * params["weights"],
-                "vectors": x.T @ (slope[:, None] * xv)
-                - (x.T @ slope)[:, None] * params["vectors"]
-                + DECAY * params["vectors"],
-            }
-            step += 1
-            for k, g in gradient.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                mean, spread = first[k] / (1 - 0.9**step), second[k] / (1 - 0.999**step)
-                params[k] = params[k] - RATE * mean / (np.sqrt(spread) + 1e-8)
-    return Machine(features, float(params["bias"][0]), params["weights"], params["vectors"])
-
-
-def telling_buckets(labelled: DataFrame) -> np.ndarray:
-    """Feature number of each bucket: the ``FEATURES`` whose presence tells most of the label.
-
-    Documents with and without the label are counted for every bucket over all rows; there are
-    no more counts than buckets.
-    """
-
-    def count(batches):
-        n = np.zeros((2, 1 << BUCKET_BITS), np.int64)
-        total = np.zeros(2, np.int64)
-        for batch in batches:
-            for packed, toxic in zip(*[c.to_pylist() for c in batch.columns]):
-                n[toxic, np.frombuffer(packed, np.int32)] += 1
-                total[toxic] += 1
-        seen = np.flatnonzero(n.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(seen, -1)),
-                pa.array(np.append(n[0, seen], total[0])),
-                pa.array(np.append(n[1, seen], total[1])),
-            ],
-            names=["bucket", "clean", "toxic"],
-        )
-
-    rows = (
-        labelled.select("terms", "toxic")
-        .mapInArrow(count, "bucket long, clean long, toxic long")
-        .groupBy("bucket")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .toPandas()
+            seen += len(picked)
+            # Rows without terms teach the bias alone.
+            bare = labels[picked[sizes[picked] == 0]]
+            push = float((1 / (1 + np.exp(-np.clip(bias, -60, 60))) - bare).sum())
+            picked = picked[sizes[picked] > 0]
+            if len(picked):
+                terms, k = np.concatenate([rows[r] for r in picked]), sizes[picked]
+                row = np.repeat(np.arange(len(picked)), k)
+                by_term = np.argsort(terms, kind="stable")
+                new = np.diff(terms[by_term], prepend=-1) != 0
+                begins = np.flatnonzero(new)
+                f = terms[by_term][begins]
+                where = np.empty(len(terms), np.int64)
+                where[by_term] = np.cumsum(new) - 1
+                p = settle(f)
+                starts = np.cumsum(k) - k
+                sums = np.add.reduceat(p[where], starts)
+                own = np.add.reduceat((p[:, 1:] ** 2).sum(axis=1)[where], starts)
+                total = bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(axis=1) - own) / k
+                slope = 1 / (1 + np.exp(-np.clip(total, -60, 60))) - labels[picked]
+                each = np.column_stack((slope, (slope / k)[:, None] * sums[:, 1:], slope / k))
+                gradient = np.add.reduceat(each[row[by_term]], begins)
+                gradient, alone = gradient[:, :-1], gradient[:, -1:]
+                gradient[:, 1:] -= alone * p[:, 1:]
+                squares[f] += gradient**2
+                params[f] -= RATE * gradient / np.sqrt(squares[f])
+                push += float(slope.sum())
+            bias_squares += push**2
+            bias -= RATE * push / np.sqrt(bias_squares)
+    settle(np.arange(n))
+    return Machine(
+        features, bias, params[:, 0].astype(np.float32), params[:, 1:].astype(np.float32)
     )
-    all_rows = rows[rows["bucket"] < 0]
-    rows = rows[rows["bucket"] >= 0].sort_values("bucket")
-    number = np.full(1 << BUCKET_BITS, -1, np.int32)
-    if not len(rows):
-        return number
-    totals = np.array([all_rows["clean"].sum(), all_rows["toxic"].sum()], float)
-    seen = rows[["clean", "toxic"]].to_numpy(float)
-    expected = seen.sum(axis=1, keepdims=True) * totals / totals.sum()
-    cells = np.stack((seen, totals - seen))
-    means = np.stack((expected, totals - expected))
-    telling = (cells * np.log(np.where(cells > 0, cells, 1) / np.maximum(means, 1e-12))).sum((0, 2))
-    # Only terms that speak for the label: those against it are the rest of the language.
-    telling[(seen.sum(axis=1) < 3) | (seen[:, 1] <= expected[:, 1])] = -1
-    best = np.argsort(-telling, kind="stable")[:FEATURES]
-    best = best[telling[best] > TELLING]
-    number[rows["bucket"].to_numpy()[best]] = np.arange(len(best))
-    return number
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Machine | None:
@@ -175,42 +153,31 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Machine | N
         .select("doc_id", "toxic")
         .distinct()
     )
+    # The hash that bounds the rows to fit on comes first, from ids alone.
+    order = F.xxhash64("doc_id")
+    last = (
+        witnesses.select(order.alias("h")).orderBy("h").limit(FIT_ROWS).agg(F.max("h")).first()[0]
+    )
     # Merged by id whatever the sizes: labels grow with the documents, so a plan that sends
     # them to every task would be another one on a larger table.
-    labelled = stage(
-        learned.select("doc_id", text_bytes().alias("body"))
-        .mapInArrow(terms, f"doc_id {kind}, terms binary")
-        .join(witnesses.hint("merge"), "doc_id"),
-        "labelled-terms",
-    )
-    number = telling_buckets(labelled)
-    shared = docs.sparkSession.sparkContext.broadcast(number)
-
-    def pick(batches):
-        features = shared.value
-        for batch in batches:
-            found = [features[np.frombuffer(t, np.int32)] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([f[f >= 0].tobytes() for f in found], pa.binary()),
-                    batch.column(2),
-                ],
-                names=["doc_id", "found", "toxic"],
-            )
-
     sample = (
-        labelled.select("doc_id", "terms", "toxic")
-        .mapInArrow(pick, f"doc_id {kind}, found binary, toxic int")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "found")
+        learned.where(order <= last)
+        .select("doc_id", text_bytes().alias("body"))
+        .mapInArrow(terms, f"doc_id {kind}, terms binary")
+        .join(witnesses.where(order <= last).hint("merge"), "doc_id")
+        .select("doc_id", "terms", "toxic")
+        .orderBy(order, "doc_id", "terms")
         .limit(FIT_ROWS)
         .collect()
     )
     if not sample:
         return None
-    rows = [np.frombuffer(r["found"], np.int32) for r in sample]
+    sets = [np.frombuffer(r["terms"], np.int32) for r in sample]
+    known = np.unique(np.concatenate(sets))
+    number = np.full(1 << BUCKET_BITS, -1, np.int32)
+    number[known] = np.arange(len(known))
     toxic = np.array([r["toxic"] for r in sample], float)
-    return fit(number, rows, toxic, max(int(number.max()) + 1, 1))
+    return fit(number, [number[x] for x in sets], toxic, max(len(known), 1))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataFrame:

@@ -336,6 +336,31 @@ def test_toxicity_learns_pairs(spark):
     assert told[2] > 0.5 > max(told[0], told[1], told[3])
 
 
+def test_toxicity_learns_pairs_of_terms_neutral_alone(spark):
+    """A text is toxic with both of two words or neither, so each alone goes with both labels."""
+    prepare(spark)
+    rng = random.Random(8)
+    rows = []
+    for i in range(800):
+        pair = [w for w in ("salt", "lamp") if rng.random() < 0.5]
+        fill = rng.sample(["river", "stone", "cloud", "table", "paper", "green"], 3)
+        rows.append((i, " ".join([*pair, *fill, f"n{i}"]), int(len(pair) != 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, truth int")
+    labels = docs.select("doc_id", F.col("truth").alias("toxic"))
+    judged = toxicity.score_toxicity(docs, labels, F.col("doc_id") % 4 != 0).where("held_out")
+    right = judged.join(docs, "doc_id").where("predicted = truth").count()
+    assert right >= 0.95 * judged.count()
+
+
+def test_few_labelled_rows_teach_a_term(spark):
+    prepare(spark)
+    rows = [(i, f"w{i} u{i} and {'vile' if i % 5 == 0 else 'calm'} v{i}", int(i % 5 == 0)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, truth int")
+    labels = docs.where("doc_id < 40").select("doc_id", F.col("truth").alias("toxic"))
+    judged = toxicity.score_toxicity(docs, labels, F.col("doc_id") < 40).where("held_out")
+    assert judged.join(docs, "doc_id").where("predicted <> truth").count() == 0
+
+
 def test_toxic_documents_are_found(spark):
     sf = "/root/testdata/sf0.1"
     truth = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
