@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pampero.llm import bpe, decontamination, line_dedup, ngram_join, toxicity
-from pampero.llm.common import prepare, text_bytes
+from pampero.llm.common import prepare, stage, text_bytes
 from pampero.workspace import new_path
 
 #: The columns of documents, which all stages but the last return.
@@ -19,6 +19,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """Documents with a stored number of each row, since ids may be null or repeated."""
+    return stage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), name)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic. The machine learns from the labels of all folds but one, on
     the documents given."""
@@ -48,25 +53,32 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; those without words
-    are alike to none and stay."""
+    """Of each group of near duplicates the row with the smallest id, those without id last;
+    rows without words are alike to none and stay."""
     prepare(spark)
-    groups = ngram_join.jaccard_components(docs.select("doc_id", "text"))
-    stay = groups.where(
-        F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("component_id").isNull()
+    rows = numbered(docs, "rows-to-join")
+    groups = ngram_join.jaccard_components(rows.select(F.col("row").alias("doc_id"), "text"))
+    group = F.coalesce("component_id", "doc_id").alias("group")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    stay = (
+        groups.select(F.col("doc_id").alias("row"), group)
+        .join(rows.select("row", F.col("doc_id").alias("id")), "row")
+        .groupBy("group")
+        .agg(first.alias("first"))
+        .select(F.col("first.row").alias("row"))
     )
-    ids = stay.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi").select(*COLUMNS)
+    return rows.join(stay, "row", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of ten words with the benchmark."""
     prepare(spark)
+    rows = numbered(docs, "rows-to-judge")
     judged = decontamination.decontaminate(
-        docs.select("doc_id", "text"), read(spark, sf_dir, "benchmark")
+        rows.select(F.col("row").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark")
     )
-    hit = judged.where("contaminated").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__id"]), "left_anti").select(*COLUMNS)
+    hit = judged.where("contaminated").select(F.col("doc_id").alias("row"))
+    return rows.join(hit, "row", "left_anti").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -95,8 +107,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over documents; each result is written and read again."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for name, step in STAGES[:-1]:
         path = new_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

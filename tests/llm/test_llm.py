@@ -412,3 +412,22 @@ def test_pipeline_stages_decide(spark):
             assert docs.columns == corpus_pipeline.COLUMNS
     assert numbers == sorted(numbers, reverse=True) and numbers[-1] > 0.6 * numbers[0]
     assert docs.where("n_tokens * 4 <> octet_length(ids)").count() == 0
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Ids may be null or repeated: what happens to one row does not happen to its namesakes."""
+    prepare(spark)
+    leak = "over the lazy dog and runs far away from here"
+    tables(spark)[1].where("item_id = 1").write.parquet(str(tmp_path / "benchmark.parquet"))
+    said = lambda rows: spark.createDataFrame(
+        [(i, t, "en", "s", None) for i, t in rows], SCHEMA.split(", node")[0]
+    ).repartition(2)
+    left = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    rows = [(None, leak), (None, "a clean text"), (1, f"so {leak}"), (1, "another clean one"), (2, None)]
+    got = corpus_pipeline.drop_contaminated(spark, said(rows), str(tmp_path))
+    assert left(got) == Counter([rows[1], rows[3], rows[4]])
+
+    one, two, three = ("".join(f"{w}{i} " for i in range(12)).strip() for w in "abc")
+    rows = [(5, one), (5, one), (None, one), (7, one), (None, two), (None, two), (5, three), (None, "")]
+    got = corpus_pipeline.keep_one_of_alike(spark, said([*rows, (None, "")]), str(tmp_path))
+    assert left(got) == Counter([(5, one), (None, two), (5, three), (None, ""), (None, "")])
