@@ -15,6 +15,9 @@ from pampero.llm import (
     language_model,
     line_dedup,
     ngram_join,
+    periodic_runs,
+    resampling,
+    source_mix,
     suffix_dedup,
     toxicity,
     warc,
@@ -293,3 +296,108 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM payloads JOIN digests USING (page_id)
 """
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(source_mix.WORD)).cast("long")
+    at = F.pmod(g, n)
+    span = 1 + F.floor((n - at) / (3 + g % 8))
+    loops = F.when((h % 10 == 0) & (n > 0), F.struct(at.alias("at"), span.alias("span")))
+    found = periodic_runs.detect_runs(table(spark, sf_dir, "documents"), loops, outputs=False)
+    return found.drop("n_words")
+
+
+@register
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mix.mix_sources(table(spark, sf_dir, "documents"), weights=[3, 1, 2])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _spent(number: int) -> str:
+    """One pass of the mix: what fits each source's room in the order of hashes, and its cut."""
+    before = f"pass{number - 1}" if number > 1 else "budgets"
+    pool = (
+        f"FROM run{number - 1} AS r JOIN pass{number - 1} USING (source_key)"
+        " WHERE r.hash > cut_hash AND r.size <= room"
+        if number > 1
+        else "FROM rows AS r WHERE size > 0"
+    )
+    return f"""
+run{number} AS (
+    SELECT r.doc_id, r.source_key, r.hash, r.size,
+        sum(r.size) OVER (PARTITION BY r.source_key ORDER BY r.hash) AS upto
+    {pool}
+),
+pass{number} AS (
+    SELECT source_key, arg_min(hash, hash) AS cut_hash, arg_min(size, hash) AS cut_size,
+        arg_min(b.room - upto + size, hash) AS room
+    FROM run{number} JOIN {before} AS b USING (source_key) WHERE upto > b.room GROUP BY source_key
+)"""
+
+
+def _taken(number: int, rest: str) -> str:
+    """What a pass takes: all before its cut, and the last cut if that is nearer."""
+    return f"""SELECT doc_id FROM run{number} LEFT JOIN pass{number} USING (source_key) LEFT JOIN {rest} USING (source_key)
+    WHERE cut_hash IS NULL OR hash < cut_hash
+        OR hash = cut_hash AND room >= coalesce(rest, 0) AND 2 * (room - coalesce(rest, 0)) >= cut_size"""
+
+
+ORACLES["op12_source_mix"] = f"""
+WITH rows AS (
+    SELECT doc_id, (source IS NULL)::INT || coalesce(source, '') AS source_key,
+        len(regexp_extract_all(coalesce(text, ''), '{source_mix.WORD}'))::BIGINT AS size,
+        ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS hash
+    FROM documents
+),
+sources AS (
+    SELECT source_key, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size)::DOUBLE AS top,
+        [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source_key) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+    FROM rows GROUP BY source_key
+),
+-- Were this source and all of higher top / weight to share what the others leave: the first one
+-- that does not exceed its ceiling then sets the level.
+levels AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(top) OVER low, 0))
+        / sum(weight) OVER (ORDER BY top / weight DESC, source_key DESC) AS level
+    FROM sources
+    WINDOW low AS (ORDER BY top / weight, source_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+targets AS (
+    SELECT source_key, source_size,
+        least(top, weight * (
+            SELECT level FROM levels WHERE level <= top / weight ORDER BY top / weight, source_key LIMIT 1
+        )) AS target
+    FROM sources
+),
+budgets AS (
+    SELECT source_key, source_size, target,
+        CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+        CASE WHEN source_size > 0 THEN target - floor(target / source_size) * source_size ELSE 0 END AS room
+    FROM targets
+),
+{_spent(1)},
+{_spent(2)},
+{_spent(3)},
+rest1 AS (SELECT source_key, sum(size) AS rest FROM run2 GROUP BY source_key),
+rest2 AS (SELECT source_key, sum(size) AS rest FROM run3 GROUP BY source_key),
+rest3 AS (SELECT source_key, 0 AS rest FROM sources),
+more AS (
+    {_taken(1, "rest1")}
+    UNION ALL
+    {_taken(2, "rest2")}
+    UNION ALL
+    {_taken(3, "rest3")}
+)
+SELECT doc_id, size, source_size, target,
+    (size * (whole + (doc_id IN (SELECT doc_id FROM more))::INT))::BIGINT AS taken
+FROM rows JOIN budgets USING (source_key)
+"""
+
+
+@register
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.drop("n_words")

@@ -24,6 +24,9 @@ from pampero.llm import (  # noqa: E402
     language_model,
     line_dedup,
     ngram_join,
+    periodic_runs,
+    resampling,
+    source_mix,
     suffix_dedup,
     toxicity,
     warc,
@@ -95,10 +98,16 @@ def operators(spark, docs):
         "suffix": lambda: suffix_dedup.remove_repeats(docs),
         "jaccard": lambda: ngram_join.jaccard_components(docs),
         "language": lambda: language_id.identify(docs, fold(3) != 1),
+        "runs": lambda: periodic_runs.detect_runs(docs),
+        "mix": lambda: source_mix.mix_sources(docs, [3, 1, 2]),
+        "resample": lambda: resampling.resample(docs, benchmark),
     }
 
 
-NAMES = ["model", "bpe", "decontamination", "exact", "lines", "toxicity", "suffix", "jaccard", "language"]
+NAMES = [
+    "model", "bpe", "decontamination", "exact", "lines", "toxicity", "suffix", "jaccard", "language",
+    "runs", "mix", "resample",
+]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -119,9 +128,9 @@ def test_query_equals_its_sql(spark, name, monkeypatch):
     assert compare.differences(spark, con, QUERIES[name], ORACLES[name], DATA) == []
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 # --- language model -------------------------------------------------------------------------
