@@ -185,6 +185,8 @@ def mix_sources(
         if number < passes:
             rest = left.groupBy("place").agg(F.sum("size").alias("rest"))
             cuts = cuts.join(rest, "place", "left").withColumn("rest", F.coalesce("rest", F.lit(0)))
+            # Stored, so that Spark knows how few they are and leaves the rows where they lie.
+            cuts = stage(cuts, "cuts")
         else:
             cuts = cuts.withColumn("rest", F.lit(0))
         rows = rows.join(cuts, "place", "left")
