@@ -1,20 +1,17 @@
-"""High-water-mark reads and keyed upserts into month-partitioned Parquet."""
+"""High-water-mark reads and keyed upserts into month-partitioned tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pampero.operators.monthly import MONTH, read_state, read_table, write_months
 from pampero.operators.ranking import best_row, newest
 from pampero.workspace import staged
 
-#: Tasks that share a month at most, when it is written.
-MONTH_BUCKETS = 64
-
 
 def high_water_mark(target: DataFrame, column: str) -> datetime | None:
     """Largest value of the column; None for an empty target. One value reaches the driver."""
@@ -72,47 +69,14 @@ def newest_versions(df: DataFrame, keys: list[str], version: list[str]) -> DataF
     return best_row(df, keys, newest(*version), tiebreak)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Month-partitioned table, None before its first load."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
-def overwrite_months(df: DataFrame, path: str, cluster_by: list[str]) -> None:
-    """Replace the months present in `df`, leave the others alone.
-
-    Rows are dealt by month and a hash of the cluster columns, so a large month, or one value
-    of the first cluster column, is shared by many tasks, each of which writes its rows in
-    order. Dealing by hash takes the input as it comes; by range it would be worked out twice,
-    first for a sample.
-    """
-    bucket = F.pmod(F.xxhash64(*cluster_by), F.lit(MONTH_BUCKETS)).alias("bucket")
-    (
-        df.repartition("month_start", bucket)
-        .sortWithinPartitions("month_start", *cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month_start")
-        .parquet(path)
-    )
-
-
-def mark_path(table: str) -> str:
-    return f"{table.rstrip('/')}.mark"
-
-
 def committed_mark(spark: SparkSession, table: str, column: str) -> datetime | None:
-    """High-water mark of the loads that ended: one stored row, however large the table is.
+    """High-water mark of the loads that ended, as the table's pointer has it.
 
-    A table without a record, loaded by other means, is asked itself.
+    A table without one, loaded by other means, is asked itself.
     """
-    record = read_table(spark, mark_path(table))
-    if record is not None:
-        return record.select(F.col("mark").cast("timestamp_ntz")).first()[0]
+    state = read_state(spark, table)
+    if state.mark is not None:
+        return datetime.fromisoformat(state.mark)
     target = read_table(spark, table)
     return None if target is None else high_water_mark(target, column)
 
@@ -125,10 +89,10 @@ def load_new(
     keys: list[str],
     cluster_by: list[str],
 ) -> None:
-    """One load: source rows past the mark, shaped, upserted, and the new mark recorded.
+    """One load: source rows past the mark, shaped and upserted, and the new mark with them.
 
-    The mark moves after the last month is in place. A load that dies between two months leaves
-    the old one, so the next load reads the same rows again and ends what was begun.
+    Months and mark change in one step, so a load that dies leaves both as they were, and the
+    next load reads the same rows again.
     """
     spark = source.sparkSession
     before = committed_mark(spark, path, column)
@@ -136,9 +100,7 @@ def load_new(
     after = high_water_mark(fresh, column)
     if after is None:
         return
-    upsert(shape(fresh), path, keys, cluster_by)
-    record = spark.range(1).select(F.lit(after.isoformat(" ")).cast("timestamp").alias("mark"))
-    record.coalesce(1).write.mode("overwrite").parquet(mark_path(path))
+    upsert(shape(fresh), path, keys, cluster_by, mark=after)
 
 
 def upsert(
@@ -147,32 +109,30 @@ def upsert(
     keys: list[str],
     cluster_by: list[str],
     version: list[str] | None = None,
+    mark: datetime | None = None,
 ) -> None:
     """Merge a batch into the table at `path`, reading and rewriting only the months it touches.
 
     Batch rows replace stored ones; with `version`, only if they are newer by those
     columns, for batches that may arrive late or twice.
 
-    The key must determine the month (it holds the date). The months are a filter of literals
-    on the partition column, so other months' files are not opened. Merged months are written
-    to the shared folder before the table is touched and deleted from it when they are in
-    place. Months are swapped one after the other: after a failure in between, the same batch has
-    to come again, as it does in `load_new` and in the streaming job.
+    The key must determine the month (it holds the date). Only the folders of the batch's months
+    are opened, and their merged rows are written once, beside them; all months are put in place
+    by one step (`monthly`).
     """
     spark = batch.sparkSession
-    target = read_table(spark, path)
-    if target is None:
-        first = newest_versions(batch, keys, version) if version else batch
-        overwrite_months(first, path, cluster_by)
-        return
+    state = read_state(spark, path)
     with staged(batch, "batch") as batch:
         # One value per month of history touched, twelve a year at most.
-        months = [r[0] for r in batch.select("month_start").distinct().collect()]
-        known = F.col("month_start").isin([m for m in months if m is not None])
-        touched = target.where(known | F.col("month_start").isNull() if None in months else known)
-        if not version:
-            merged = merge(touched, batch, keys)
+        months = [r[0] for r in batch.select(MONTH).distinct().collect()]
+        target = read_table(spark, path, months)
+        places = batch.select(MONTH, *cluster_by)
+        if target is None:
+            merged = newest_versions(batch, keys, version) if version else batch
         else:
-            merged = merge_newest(touched, batch, keys, version)
-        with staged(merged, "merged") as merged:
-            overwrite_months(merged, path, cluster_by)
+            places = places.unionByName(target.select(MONTH, *cluster_by))
+            merged = (
+                merge_newest(target, batch, keys, version) if version else merge(target, batch, keys)
+            )
+        stamp = None if mark is None else mark.isoformat(" ")
+        write_months(merged, path, cluster_by, places, stamp, before=state)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from pampero.operators.incremental import overwrite_months
+from pampero.operators.monthly import read_table, write_months
 from pampero.plans.models import Models
 from pampero.sources.schemas import documented
 
@@ -45,14 +45,9 @@ def build(models: Models, out: str) -> dict[str, str]:
     )
     models.dim_province = table("dim_province", models.dim_province, [])
     paths["fct_weather_daily"] = f"{out}/fct_weather_daily"
-    overwrite_months(
-        documented(models.fct_weather),
-        paths["fct_weather_daily"],
-        ["province_key", "location_id"],
-    )
-    models.fct_weather = spark.read.schema(models.fct_weather.schema).parquet(
-        paths["fct_weather_daily"]
-    )
+    fact, cluster_by = paths["fct_weather_daily"], ["province_key", "location_id"]
+    write_months(documented(models.fct_weather), fact, cluster_by, whole=True)
+    models.fct_weather = read_table(spark, fact).select(*models.fct_weather.columns)
     models.fct_tax = table("fct_tax_province", models.fct_tax, [])
     models.fct_yield = table("fct_yield_province_campaign", models.fct_yield, [])
     table("mart_province_campaign", models.mart_province_campaign, [])

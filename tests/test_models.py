@@ -1,12 +1,13 @@
 """The model graph, its stored form, export and streaming."""
 
 import json
+from datetime import date
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from pampero.operators import incremental
+from pampero.operators import incremental, monthly
 from pampero.plans import legacy, marts, staging, weather
 from pampero.plans.models import Models, lazy
 from pampero.plans.suite import SUITE, Row, run_suite
@@ -76,10 +77,10 @@ def built(spark, tmp_path_factory):
 
 def test_build_stores_what_the_plans_give(spark, built):
     models, paths, expected = built
-    fact = spark.read.parquet(paths["fct_weather_daily"])
+    fact = monthly.read_table(spark, paths["fct_weather_daily"])
     assert fact.count() == expected["fct"]
     assert spark.read.parquet(paths["mart_province_campaign"]).count() == expected["mart"]
-    months = [p for p in Path(paths["fct_weather_daily"]).iterdir() if p.is_dir()]
+    months = monthly.read_state(spark, paths["fct_weather_daily"]).months
     assert len(months) == fact.select("month_start").distinct().count()
     plan = fact.filter("month_start = date'2000-03-01'")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(month_start" in plan
@@ -156,64 +157,218 @@ def daily(spark, *readings):
     return legacy.daily(staging.flattened_weather(raw_readings(spark, *readings)))
 
 
+def local(path):
+    return Path(path.removeprefix("file:"))
+
+
 def test_upsert_rewrites_only_touched_months(spark):
     table = new_path(spark, "t")
 
     def load(df):
         incremental.upsert(df, table, legacy.KEY, ["location_id"])
 
+    def may():
+        folder = monthly.read_state(spark, table).months["2024-05-01"]
+        return folder, sorted(p.name for p in local(table).glob(f"{folder}/month_start=2024-05-01/*/*.parquet"))
+
     load(daily(spark, reading("a", "2024-05-01", 1, T2M=1), reading("a", "2024-06-01", 1, T2M=1)))
-    may = Path(table.removeprefix("file:"), "month_start=2024-05-01")
-    before = sorted(p.name for p in may.glob("*.parquet"))
+    before = may()
     batch = daily(spark, reading("a", "2024-06-01", 2, T2M=2), reading("b", "2024-06-02", 2, T2M=3))
     load(batch)
     load(batch)
     stored = incremental.read_table(spark, table).select("location_id", "t2m")
     assert rows(stored) == [("a", 1.0), ("a", 2.0), ("b", 3.0)]
-    assert sorted(p.name for p in may.glob("*.parquet")) == before
+    assert may() == before and before[1]
 
 
-def test_upsert_opens_only_touched_months(spark):
+def test_upsert_opens_only_touched_months(spark, monkeypatch):
     from pampero.workspace import shared_folder as folder
 
     table = new_path(spark, "t")
     days = [reading("a", f"2024-{m:02}-01", 1, T2M=m) for m in range(1, 13)]
-    incremental.overwrite_months(daily(spark, *days), table, ["location_id"])
-    target = incremental.read_table(spark, table)
-    months = [r[0] for r in daily(spark, days[4]).select("month_start").distinct().collect()]
-    touched = target.where(F.col("month_start").isin(months))
-    explain = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString
-    plan = explain(touched._jdf.queryExecution(), "formatted")
-    filters = next(x for x in plan.splitlines() if x.startswith("PartitionFilters"))
-    assert "month_start" in filters and "dynamicpruning" not in filters
-    before = set(Path(folder(spark).removeprefix("file:"), "pampero").glob("*"))
+    incremental.upsert(daily(spark, *days), table, legacy.KEY, ["location_id"])
+    opened = []
+
+    def spied(df, *rest):
+        opened.extend(df.inputFiles())
+        return write(df, *rest)
+
+    write = monthly._write_spans
+    monkeypatch.setattr(monthly, "_write_spans", spied)
+    before = set(local(folder(spark)).glob("pampero/*"))
     incremental.upsert(daily(spark, reading("a", "2024-05-01", 2, T2M=9)), table, legacy.KEY, ["location_id"])
-    assert set(Path(folder(spark).removeprefix("file:"), "pampero").glob("*")) == before
+    assert set(local(folder(spark)).glob("pampero/*")) == before
+    stored = [f for f in opened if table.removeprefix("file:") in f]
+    assert stored and all("month_start=2024-05-01" in f for f in stored)
 
 
-def test_a_load_that_dies_between_months_loses_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("months_done", [0, 1, 2])
+@pytest.mark.parametrize("first", [True, False])
+def test_a_load_that_dies_leaves_the_table_as_it_was(spark, monkeypatch, first, months_done):
+    """Killed before, between and after the months of a load, the first load or a later one."""
     table, mark = new_path(spark, "t"), "_sdc_extracted_at"
 
     def load(*readings):
         raw = staging.flattened_weather(raw_readings(spark, *readings))
         incremental.load_new(raw, table, mark, legacy.daily, legacy.KEY, ["location_id"])
 
-    first = [reading("a", "2024-05-01", 1, T2M=1), reading("a", "2024-06-01", 1, T2M=1)]
-    load(*first)
-    whole, write = incremental.overwrite_months, incremental.overwrite_months
+    def stored():
+        df = incremental.read_table(spark, table)
+        return None if df is None else rows(df.select(F.month("date"), "t2m"))
+
+    one = [reading("a", "2024-05-01", 1, T2M=1), reading("a", "2024-06-01", 1, T2M=1)]
+    two = [reading("a", "2024-05-01", 2, T2M=2), reading("a", "2024-06-01", 2, T2M=2)]
+    if not first:
+        load(*one)
+    before, write = stored(), monthly._write_spans
 
-    def die(df, path, cluster_by):
-        write(df.where(F.month("month_start") == 6), path, cluster_by)
+    def die(df, *rest):
+        write(df.where(F.month("month_start") < 5 + months_done), *rest)
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(incremental, "overwrite_months", die)
-    second = [*first, reading("a", "2024-05-01", 2, T2M=2), reading("a", "2024-06-01", 2, T2M=2)]
+    monkeypatch.setattr(monthly, "_write_spans", die)
     with pytest.raises(RuntimeError):
-        load(*second)
-    monkeypatch.setattr(incremental, "overwrite_months", whole)
-    load(*second)
-    stored = incremental.read_table(spark, table).select(F.month("date"), "t2m")
-    assert rows(stored) == [(5, 2.0), (6, 2.0)]
+        load(*one, *two)
+    assert stored() == before
+    monkeypatch.setattr(monthly, "_write_spans", write)
+    load(*one, *two)
+    assert stored() == [(5, 2.0), (6, 2.0)]
+    # What the dead load left is gone after the next one, with what that superseded.
+    load(reading("a", "2024-07-01", 3, T2M=3))
+    load(reading("a", "2024-08-01", 4, T2M=4))
+    alive = set(monthly.read_state(spark, table).months.values())
+    assert {p.name for p in local(table).glob("load=*")} == alive
+    assert {p.name for p in local(table).glob("spans/load=*")} == alive
+
+
+def test_readers_under_way_keep_their_files(spark):
+    table = new_path(spark, "t")
+    load = lambda *r: incremental.upsert(daily(spark, *r), table, legacy.KEY, ["location_id"])
+    load(reading("a", "2024-05-01", 1, T2M=1))
+    old = incremental.read_table(spark, table).select("t2m")
+    load(reading("a", "2024-05-01", 2, T2M=2))
+    assert rows(old) == [(1.0,)]
+    assert rows(incremental.read_table(spark, table).select("t2m")) == [(2.0,)]
+
+
+def test_a_second_writer_is_noticed(spark, monkeypatch):
+    table = new_path(spark, "t")
+    load = lambda *r: incremental.upsert(daily(spark, *r), table, legacy.KEY, ["location_id"])
+    load(reading("a", "2024-05-01", 1, T2M=1))
+    write = monthly._write_spans
+
+    def overtaken(*all_):
+        monkeypatch.setattr(monthly, "_write_spans", write)
+        load(reading("b", "2024-05-01", 2, T2M=2))
+        return write(*all_)
+
+    monkeypatch.setattr(monthly, "_write_spans", overtaken)
+    with pytest.raises(RuntimeError, match="another load"):
+        load(reading("c", "2024-05-01", 3, T2M=3))
+    assert rows(incremental.read_table(spark, table).select("location_id")) == [("a",), ("b",)]
+
+
+def test_plain_month_folders_are_taken_over(spark):
+    """A table written by other means has no pointer: its months stay until a load replaces them."""
+    table = new_path(spark, "t")
+    days = [reading("a", "2024-05-01", 1, T2M=1), reading("a", "2024-06-01", 1, T2M=1)]
+    daily(spark, *days).write.partitionBy("month_start").parquet(table)
+    raw = staging.flattened_weather(raw_readings(spark, *days, reading("a", "2024-06-02", 2, T2M=5)))
+    incremental.load_new(raw, table, "_sdc_extracted_at", legacy.daily, legacy.KEY, ["location_id"])
+    stored = incremental.read_table(spark, table)
+    assert rows(stored.select(F.col("date").cast("string"), "t2m")) == [
+        ("2024-05-01", 1.0),
+        ("2024-06-01", 1.0),
+        ("2024-06-02", 5.0),
+    ]
+    assert set(monthly.read_state(spark, table).months.values()) > {""}
+
+
+def test_months_and_keys_may_be_null(spark):
+    table = new_path(spark, "t")
+    schema = "month_start date, province_key string, location_id string, n long"
+    first = [(None, None, "a", 1), (None, "P", None, 2), (date(2024, 5, 1), None, None, 3)]
+    monthly.write_months(spark.createDataFrame(first, schema), table, ["province_key", "location_id"])
+    assert rows(monthly.read_table(spark, table).select("n")) == [(1,), (2,), (3,)]
+    again = spark.createDataFrame([(None, "P", "b", 4)], schema)
+    monthly.write_months(again, table, ["province_key", "location_id"])
+    assert rows(monthly.read_table(spark, table).select("n")) == [(3,), (4,)]
+    assert rows(monthly.read_table(spark, table, months=[None]).select("n")) == [(4,)]
+    found = monthly.read_table(spark, table, where={"province_key": None})
+    assert rows(found.select("n")) == [(3,)]
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, tmp_path_factory):
+    """Three months of 400 locations, nine in ten of which lie in one province of 21."""
+    table = str(tmp_path_factory.mktemp("clustered") / "t")
+    at = F.col("id") % 400
+    province = F.when(at < 360, F.lit("M")).otherwise(F.format_string("%02d", at % 20))
+    df = spark.range(400 * 90).select(
+        province.alias("province_key"),
+        F.format_string("l%03d", at).alias("location_id"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") / 400).cast("int")).alias("date"),
+        F.rand(1).alias("v"),
+    )
+    df = df.withColumn("month_start", F.trunc("date", "month")).repartition(7)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(monthly, "FILE_ROWS", 600)
+        monthly.write_months(df, table, ["province_key", "location_id"])
+    return table, df
+
+
+def test_a_light_province_opens_few_files_a_heavy_one_many(spark, clustered):
+    table, df = clustered
+    everything = monthly.read_table(spark, table)
+    files = everything.inputFiles()
+    assert len(files) >= 60 and everything.exceptAll(df.select(*everything.columns)).count() == 0
+    light = monthly.read_table(spark, table, where={"province_key": "07"})
+    assert light.count() == df.where("province_key = '07'").count() > 0
+    assert len(light.inputFiles()) <= 2 * 3  # a border may fall into a province, in each month
+    heavy = monthly.read_table(spark, table, where={"province_key": "M"})
+    assert len(heavy.inputFiles()) > 0.8 * len(files)
+    one = monthly.read_table(spark, table, where={"province_key": "M", "location_id": "l123"})
+    assert one.count() == 90 and len(one.inputFiles()) <= 2 * 3
+    month = monthly.read_table(spark, table, [date(2024, 2, 1)], {"province_key": "M", "location_id": "l123"})
+    assert month.count() == 29 and len(month.inputFiles()) <= 2
+    assert monthly.read_table(spark, table, where={"province_key": "zz"}).count() == 0
+    # A column that rows are not ordered by first opens all files and finds the same rows.
+    by_place = monthly.read_table(spark, table, where={"location_id": "l123"})
+    assert by_place.count() == 90 and len(by_place.inputFiles()) == len(files)
+
+
+def test_files_hold_disjoint_ranges_of_even_size(spark, clustered):
+    table, _ = clustered
+    held = (
+        spark.read.parquet(*{str(p) for p in local(table).glob("load=*")})
+        .groupBy("month_start", "span")
+        .agg(
+            F.min(F.struct("province_key", "location_id")).alias("low"),
+            F.max(F.struct("province_key", "location_id")).alias("high"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+    last = None
+    for r in held.orderBy("month_start", "low").collect():
+        if last and last.month_start == r.month_start:
+            assert tuple(last.high) < tuple(r.low)
+        last = r
+    assert held.agg(F.max("n")).first()[0] < 3 * 600
+    told = spark.read.parquet(*{str(p) for p in local(table).glob("spans/load=*")})
+    assert rows(held.select("month_start", "span", "low", "high")) == rows(
+        told.select("month_start", "span", "low", "high")
+    )
+
+
+def test_a_key_finds_its_span(spark):
+    """The binary search equals a look at all, for any number of spans."""
+    for n in (1, 2, 3, 7, 8, 33):
+        cuts = spark.range(1).select(
+            F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct((i * 10).alias("low"), i.alias("span"))).alias("cuts")
+        )
+        keys = spark.range(0, 10 * n + 5).select("id").crossJoin(cuts)
+        found = keys.select(F.expr("least(id div 10, %d)" % (n - 1)).alias("want"), monthly.span_of(F.col("cuts"), F.col("id"), n).alias("got"))
+        assert found.where("want <> got").count() == 0
 
 
 def test_stream_loads_each_file_once_and_survives_a_restart(spark, tmp_path):
