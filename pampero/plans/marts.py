@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pampero.functions import climate
 from pampero.functions.safe import safe_divide
 from pampero.operators.ranking import best_row, newest
-from pampero.plans.weather import LOAD_ORDER, METRICS
+from pampero.plans.weather import DIMENSION_NAMES, LOAD_ORDER, METRICS
 from pampero.sources.schemas import MEASURES, REPLICATION
 
 CALENDAR = [
@@ -47,15 +47,12 @@ YIELD_MEASURES = [
 ]
 
 
-def fct_weather_daily(quality: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Daily weather fact; name and province come from the location dimension.
+def fct_weather_daily(quality: DataFrame) -> DataFrame:
+    """Daily weather fact, of rows completed from the location dimension, which names the place.
 
-    Position and country keep what the base resolved. The fact has one row per location and
-    day, so the join key is never hot.
+    Position and country keep what the base resolved.
     """
-    names = ["location_name", "province_name", "province_key"]
-    dim = dim_location.select("location_id", *[F.col(c).alias(f"_{c}") for c in names])
-    return quality.join(dim, "location_id", "left").select(
+    return quality.select(
         "location_id",
         "latitude",
         "longitude",
@@ -74,7 +71,7 @@ def fct_weather_daily(quality: DataFrame, dim_location: DataFrame) -> DataFrame:
         "has_location_dimension",
         *LOADED,
         *REPLICATION,
-        *[F.coalesce(f"_{c}", c).alias(c) for c in names],
+        *[F.coalesce(f"_dim_{c}", c).alias(c) for c in DIMENSION_NAMES],
     )
 
 

@@ -66,11 +66,13 @@ class Models:
         return weather.with_metrics(self.weather_base)
 
     @cached_property
-    def weather_quality(self) -> DataFrame:
+    def latest_day(self) -> DataFrame:
         # Both relations have the same newest day: a stored one is the cheaper to ask.
-        days = self.stg_weather if self.keep is lazy else self.best_weather
-        latest = weather.latest_day(days)
-        return weather.with_quality(self.weather_metrics, latest)
+        return weather.latest_day(self.stg_weather if self.keep is lazy else self.best_weather)
+
+    @cached_property
+    def weather_quality(self) -> DataFrame:
+        return weather.with_quality(self.weather_metrics, self.latest_day)
 
     @cached_property
     def weather_only(self) -> DataFrame:
@@ -85,7 +87,10 @@ class Models:
 
     @cached_property
     def fct_weather(self) -> DataFrame:
-        return marts.fct_weather_daily(self.weather_quality, self.dim_location)
+        # One join with the dimension, which holds the catalogue, both completes and names.
+        base = weather.daily_base(self.best_weather, self.dim_location)
+        quality = weather.with_quality(weather.with_metrics(base), self.latest_day)
+        return marts.fct_weather_daily(quality)
 
     @cached_property
     def tax(self) -> DataFrame:

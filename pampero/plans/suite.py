@@ -1,4 +1,4 @@
-"""Declared data checks over the whole model graph, run in few passes."""
+"""Declared data checks over the whole model graph, run in one pass over each relation."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pampero.operators import checks
-
 CROPS = ["soja", "maíz", "trigo"]
 
 
@@ -118,55 +116,115 @@ SUITE: dict[str, list[Row | Unique | Parent]] = {
 }
 
 
-def _counted(failing: DataFrame, relation: str, label: str) -> DataFrame:
-    return failing.agg(F.count("*").alias("failures")).select(
-        F.lit(relation).alias("relation"), F.lit(label).alias("check"), "failures"
+#: Most row checks a relation may declare: each is a sum of the one aggregation.
+WIDTH = max(sum(isinstance(c, Row) for c in declared) for declared in SUITE.values())
+
+
+def label(check: Row | Unique | Parent) -> str:
+    if isinstance(check, Row):
+        return check.label
+    if isinstance(check, Unique):
+        return f"unique {', '.join(check.columns)}"
+    return f"known {check.column}"
+
+
+def _entry(
+    test: int, key: Column, child: Column | int, parent: int = 0, failed: list[Column] | None = None
+) -> Column:
+    """What one row of a relation adds to one check."""
+    flags = [f.cast("long") for f in failed or []]
+    flags += [F.lit(0).cast("long")] * (WIDTH - len(flags))
+    return F.struct(
+        F.lit(test).alias("test"),
+        key.alias("key"),
+        (child if isinstance(child, Column) else F.lit(child)).cast("long").alias("child"),
+        F.lit(parent).cast("long").alias("parent"),
+        *[f.alias(f"failed_{i}") for i, f in enumerate(flags)],
     )
 
 
-def _row_checks(df: DataFrame, relation: str, rows: list[Row]) -> DataFrame:
-    """All row-level checks of a relation in one scan."""
+def _key(columns: list[str]) -> Column:
+    """The values of some columns, of whatever types, as one text that tells them apart."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
-    def failures(row: Row) -> Column:
-        # An unknown condition passes.
-        failed = F.coalesce(~F.expr(row.holds), F.lit(False))
-        return F.struct(
-            F.lit(relation).alias("relation"),
-            F.lit(row.label).alias("check"),
-            F.count_if(F.expr(row.where) & failed).alias("failures"),
-        )
 
-    return df.agg(F.array(*map(failures, rows)).alias("r")).select(F.inline("r"))
+def _expanded(
+    df: DataFrame,
+    rows: tuple[int, list[Row]] | None,
+    uniques: list[tuple[int, Unique]],
+    children: list[tuple[int, Parent]],
+    known: list[tuple[int, Parent]],
+) -> DataFrame:
+    """Every row of a relation as its parts in the checks, its own and those it is parent to."""
+    entries = []
+    nothing = F.lit(None).cast("string")
+    if rows:
+        # An unknown condition passes.
+        failed = [
+            F.expr(r.where) & F.coalesce(~F.expr(r.holds), F.lit(False)) for r in rows[1]
+        ]
+        failed = [F.coalesce(f, F.lit(False)) for f in failed]
+        entries.append(_entry(rows[0], nothing, 1, failed=failed))
+    for test, check in uniques:
+        # A lone NULL is no value; a combination may hold some.
+        counted = F.col(check.columns[0]).isNotNull() if len(check.columns) == 1 else 1
+        entries.append(_entry(test, _key(list(check.columns)), counted))
+    for test, check in children:
+        entries.append(_entry(test, _key([check.column]), F.col(check.column).isNotNull()))
+    for test, check in known:
+        entries.append(_entry(test, _key([check.column]), 0, parent=1))
+    return df.select(F.inline(F.array(*entries)))
 
 
 def run_suite(
     relations: dict[str, DataFrame], suite: dict[str, list[Row | Unique | Parent]] = SUITE
 ) -> DataFrame:
-    """Relation, check and number of failures (rows, or keys for the key checks).
+    """Relation, check and number of failures: rows, or keys for the checks on keys.
 
-    Relations that are not given are skipped. Give stored relations: each is scanned once for
-    its row checks and once per key check.
+    Relations that are not given are skipped. Every relation is read once: a row becomes one entry
+    for its row checks and one for each key it holds or vouches for, entries are added up by check
+    and key, partially before they are shuffled, and the sums once more by check. Neither a
+    frequent key nor a long relation comes together in a task.
     """
+    given = {n: declared for n, declared in suite.items() if n in relations}
+    tests = [(n, c) for n, declared in given.items() for c in declared if not isinstance(c, Row)]
+    number = {test: i for i, test in enumerate(tests)}
+    row_test = {n: len(tests) + i for i, n in enumerate(given)}
     parts = []
-    for relation, declared in suite.items():
-        if relation not in relations:
-            continue
-        df = relations[relation]
-        rows = [c for c in declared if isinstance(c, Row)]
-        if rows:
-            parts.append(_row_checks(df, relation, rows))
+    for name, declared in given.items():
+        checked = [c for c in declared if isinstance(c, Row)]
+        rows = (row_test[name], checked) if checked else None
+        uniques = [(number[name, c], c) for c in declared if isinstance(c, Unique)]
+        children = [(number[name, c], c) for c in declared if isinstance(c, Parent)]
+        known = [
+            (number[n, c], c) for n, c in tests if isinstance(c, Parent) and c.parent == name
+        ]
+        parts.append(_expanded(relations[name], rows, uniques, children, known))
+    missing = {
+        c.parent for _, c in tests if isinstance(c, Parent) and c.parent not in given
+    }
+    if missing:
+        raise ValueError(f"parents of checked relations are not given: {sorted(missing)}")
+    sums = [F.sum(c).alias(c) for c in ["child", "parent", *[f"failed_{i}" for i in range(WIDTH)]]]
+    by_key = reduce(DataFrame.unionByName, parts).groupBy("test", "key").agg(*sums)
+    by_test = by_key.groupBy("test").agg(
+        F.count_if(F.expr("child > 1")).alias("repeated"),
+        F.count_if(F.expr("child > 0 and parent = 0")).alias("unknown"),
+        *[F.sum(f"failed_{i}").alias(f"failed_{i}") for i in range(WIDTH)],
+    )
+    # One row a declared check, whatever the relations hold.
+    listed = []
+    for name, declared in given.items():
+        place = 0
         for check in declared:
-            if isinstance(check, Unique):
-                columns = list(check.columns)
-                repeated = (
-                    checks.unique(df, columns[0])
-                    if len(columns) == 1
-                    else checks.unique_combination(df, columns)
-                )
-                parts.append(_counted(repeated, relation, f"unique {', '.join(columns)}"))
-            elif isinstance(check, Parent):
-                orphans = checks.relationship(
-                    df, check.column, relations[check.parent], check.column
-                )
-                parts.append(_counted(orphans, relation, f"known {check.column}"))
-    return reduce(DataFrame.unionByName, parts)
+            if isinstance(check, Row):
+                listed.append((name, label(check), row_test[name], f"failed_{place}"))
+                place += 1
+            else:
+                kind = "repeated" if isinstance(check, Unique) else "unknown"
+                listed.append((name, label(check), number[name, check], kind))
+    spark = by_test.sparkSession
+    declared = spark.createDataFrame(listed, "relation string, check string, test int, measure string")
+    measures = ["repeated", "unknown", *[f"failed_{i}" for i in range(WIDTH)]]
+    value = F.coalesce(*[F.when(F.col("measure") == m, F.col(m)) for m in measures], F.lit(0))
+    return declared.join(by_test, "test", "left").select("relation", "check", value.alias("failures"))

@@ -54,19 +54,27 @@ def best_daily_rows(staged: DataFrame) -> DataFrame:
     )
 
 
-def daily_base(best: DataFrame, current_locations: DataFrame) -> DataFrame:
+def daily_base(best: DataFrame, locations: DataFrame) -> DataFrame:
     """Best rows completed from the location catalogue, which wins over the payload.
 
-    The catalogue grows with the network of stations, so no broadcast is forced: Spark
-    broadcasts it while it measures small and otherwise joins by shuffling on the key.
+    ``locations`` are the catalogue's current ones or the location dimension. Of the dimension,
+    only rows of the catalogue complete a day; the names it gives every location are carried
+    along as ``_dim_<name>``, so that the fact need not be joined with it again.
+
+    Locations grow with the network of stations, so no broadcast is forced: Spark
+    broadcasts them while they measure small and otherwise joins by shuffling on the key.
     """
-    catalog = current_locations.select(
+    is_dimension = "is_catalog_location" in locations.columns
+    listed = F.col("is_catalog_location") if is_dimension else F.lit(True)
+    carried = {f"_dim_{c}": c for c in DIMENSION_NAMES} if is_dimension else {}
+    catalog = locations.select(
         "location_id",
-        F.lit(True).alias("_matched"),
+        F.when(listed, F.lit(True)).alias("_matched"),
         *[
-            F.col(c).alias(f"_{c}")
+            F.when(listed, F.col(c)).alias(f"_{c}")
             for c in [*_DESCRIBED, "country_code", "is_active"]
         ],
+        *[F.col(c).alias(name) for name, c in carried.items()],
     )
     joined = best.join(catalog, "location_id", "left")
     return joined.select(
@@ -83,9 +91,13 @@ def daily_base(best: DataFrame, current_locations: DataFrame) -> DataFrame:
         *[F.coalesce(f"_{c}", c).alias(c) for c in _DESCRIBED],
         F.coalesce("_country_code", F.lit("AR")).alias("country_code"),
         F.col("_matched").isNotNull().alias("has_location_dimension"),
+        *carried,
     )
 
 
+#: What the location dimension says of a fact row's place.
+DIMENSION_NAMES = ["location_name", "province_name", "province_key"]
+
 _DESCRIBED = ["location_name", "province_name", "province_key", "latitude", "longitude"]
 
 METRICS = {

@@ -131,12 +131,14 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_weather(spark: SparkSession, sf_dir: str, form: str = "struct") -> DataFrame:
-    """Observations with a struct payload, a JSON payload, or flat without one."""
+    """Observations with a struct payload, a JSON or VARIANT payload, or flat without one."""
     if form == "flat":
         return observations(spark, sf_dir)
     data = F.struct(*WEATHER_PAYLOAD.fieldNames())
-    if form == "json":
+    if form in ("json", "variant"):
         data = F.to_json(data)
+    if form == "variant":
+        data = F.parse_json(data)
     return observations(spark, sf_dir).select(*REPLICATION, data.alias("data"))
 
 

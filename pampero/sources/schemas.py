@@ -131,6 +131,7 @@ CATALOG_CSV = _strings(
 
 COMMENTS = {
     **{canonical: meaning for _, canonical, _, meaning in WEATHER_VARIABLES},
+    **{old: meaning for _, _, old, meaning in WEATHER_VARIABLES},
     "location_id": "Stable location identifier",
     "province_key": "Accent-free upper-case province name, the join key",
     "date": "Observation date",
@@ -145,6 +146,21 @@ COMMENTS = {
 }
 
 
+#: What the stored relations are.
+RELATIONS = {
+    "best_weather": "Fullest, then newest snapshot of each location and day",
+    "current_locations": "Newest live snapshot of each catalogued location",
+    "dim_location": "Every location, from the catalogue or known from weather alone",
+    "dim_province": "Every province, with the sources that know it",
+    "fct_weather_daily": "One row a location and day: measures, metrics, quality and risks",
+    "fct_tax_province": "Land and turnover tax of each known province",
+    "fct_yield_province_campaign": "Crop yields by province, campaign and crop",
+    "mart_province_campaign": "Yields next to weather of their campaign and taxes",
+    "location_snapshot": "Newest usable day of each location, scored",
+    "legacy_daily": "First-generation daily weather, in its own column names",
+}
+
+
 def documented(df: DataFrame, comments: dict[str, str] = COMMENTS) -> DataFrame:
     """Attach column comments, kept by tables saved from the result."""
 

@@ -6,9 +6,11 @@ from collections.abc import Callable, Iterator
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pampero.files import read_text, replace_text
+
 LOCAL_ZONE = "America/Argentina/Buenos_Aires"
 FIRST_HISTORY_YEAR = 2016
 
@@ -72,6 +74,34 @@ def with_slice(df: DataFrame, slices: list[Window], date_col: str = "date") -> D
     return df.withColumn("slice_start", label).filter(F.col("slice_start").isNotNull())
 
 
+def resume_backfill(
+    spark: SparkSession, slices: list[Window], load: Callable[[date, date], None], ledger: str
+) -> Iterator[Window]:
+    """Run `load` slice by slice as `backfill` does, yielding each finished one, and go on where an
+    earlier run stopped.
+
+    ``ledger`` is the path of a small file that names the slices in place, one line of text each.
+    A slice enters it when its load has returned, so one that died is loaded again: loads have to
+    stand being repeated, as upserts do. A slice that has grown since, as the started year does, is
+    open again.
+    """
+    done = read_ledger(spark, ledger)
+    for first, last in slices:
+        if done.get(first) == last:
+            continue
+        load(first, last)
+        done[first] = last
+        text = "".join(f"{a}\t{b}\n" for a, b in sorted(done.items()))
+        replace_text(spark, ledger, text)
+        yield first, last
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> dict[date, date]:
+    """First and last day of each slice in place."""
+    lines = (read_text(spark, ledger) or "").splitlines()
+    return dict(tuple(map(date.fromisoformat, line.split("\t"))) for line in lines)
+
+
 def backfill(slices: list[Window], load: Callable[[date, date], None]) -> Iterator[Window]:
     """Run `load` slice by slice, yielding each finished one.
 

@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pampero import files
 from pampero.functions.calendar import with_calendar
 from pampero.functions.text import normalize_text
 from pampero.operators import checks, incremental, monthly
 from pampero.operators.payload import raw_member, with_payload
 from pampero.operators.ranking import best_row, newest
-from pampero.plans import dimensions, legacy, marts, staging, weather
+from pampero.plans import dimensions, legacy, marts, staging, suite, weather
 from pampero.plans.models import Models, lazy
 from pampero.session import prepare
+from pampero.sinks import bucketed, catalogue
 from pampero.sinks import export as exporting
 from pampero.sinks import tables
 from pampero.sources import adapter, raw, schemas, windows
@@ -116,6 +118,14 @@ def _(spark, d):
     return _plan(spark, d, "struct").stg_weather
 
 
+@query("stg_weather_daily_variant", sql.select("stg", STG_WEATHER))
+def _(spark, d):
+    """The payload stored as VARIANT; members are fetched by their paths."""
+    path = new_path(spark, "raw")
+    adapter.raw_weather(spark, d, "variant").write.parquet(path)
+    return staging.weather(spark.read.parquet(path))
+
+
 @query("stg_weather_daily_flat", sql.select("stg", STG_WEATHER))
 def _(spark, d):
     return _plan(spark, d).stg_weather
@@ -701,9 +711,9 @@ def _(spark, d):
     sql.chain("mart", "snapshot")
     + """SELECT 'explicit' AS mode, 'marts' AS dataset, 'mart_province_campaign' AS "table",
     'marts.mart_province_campaign' AS qualified_name, 'QUERY' AS relation_type,
-    'query' AS export_method, count(*) AS row_count FROM mart UNION ALL
+    'query' AS export_method, count(*) AS row_count, TRUE AS is_whole FROM mart UNION ALL
 SELECT 'explicit', 'marts', 'location_snapshot', 'marts.location_snapshot', 'QUERY', 'query',
-    count(*) FROM snapshot""",
+    count(*), TRUE FROM snapshot""",
 )
 def _(spark, d):
     return _exported(spark, d)[2].drop("generated_at", "files", "file_count")
@@ -728,6 +738,25 @@ def _(spark, d):
     return manifest.select("mode", "table", "relation_type", "export_method", "row_count")
 
 
+@query(
+    "export_read_back",
+    sql.chain("tax_rows")
+    + """SELECT 'tax' AS relation, count(*) - 2 AS found_rows, count(*) AS listed_rows FROM tax_rows""",
+)
+def _(spark, d):
+    """Exported files read back after one of them has lost two lines, and another relation none."""
+    out = new_path(spark, "export")
+    relations = {"tax": _plan(spark, d).tax.coalesce(1), "locations": _plan(spark, d).current_locations}
+    exporting.export(spark, relations, out)
+    file = exporting.read_back(spark, out, "tax").first()["file"]
+    files.replace_text(spark, f"{out}/tax/{file}", _less(files.read_text(spark, f"{out}/tax/{file}"), 2))
+    return exporting.damaged(spark, out).drop("file")
+
+
+def _less(text: str, lines: int) -> str:
+    return "".join(text.splitlines(keepends=True)[:-lines])
+
+
 def _stored(spark, d) -> str:
     out = new_path(spark, "marts")
     tables.build(_models(spark, d), out)
@@ -754,6 +783,95 @@ def _(spark, d):
     return spark.read.parquet(f"{_stored(spark, d)}/mart_province_campaign").select(*MART)
 
 
+def _by_location(spark, d) -> tuple[str, Models]:
+    database = f"buckets_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    models = _models(spark, d)
+    tasks = spark.sparkContext.defaultParallelism
+    buckets = bucketed.enough_buckets(adapter.table(spark, d, "lineitem").count(), tasks)
+    models.keep = bucketed.ByLocation(database, new_path(spark, "buckets"), buckets)
+    return database, bucketed.build_by_location(models, models.keep)
+
+
+@query("bucketed_fact", sql.select("fact", QUALITY_TABLE))
+def _(spark, d):
+    """The fact made from, and kept in, tables bucketed by location."""
+    database, models = _by_location(spark, d)
+    fact = models.fct_weather
+    spark.sql(f"DROP DATABASE {database} CASCADE")  # the tables are files of their own
+    return fact
+
+
+@query("bucketed_snapshot", sql.select("snapshot", SNAPSHOT))
+def _(spark, d):
+    """The snapshot ranked and joined bucket by bucket."""
+    database, models = _by_location(spark, d)
+    snapshot = models.location_snapshot
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return snapshot
+
+
+@query(
+    "clustered_province",
+    sql.chain("fact")
+    + """SELECT location_id, date, province_key, precipitation_mm FROM fact
+WHERE province_key = (SELECT min(province_key) FROM fact)""",
+)
+def _(spark, d):
+    """One province of the stored fact: only files whose range of keys covers it are opened."""
+    path = f"{_stored(spark, d)}/fct_weather_daily"
+    first = monthly.read_table(spark, path).agg(F.min("province_key")).first()[0]
+    found = monthly.read_table(spark, path, where={"province_key": first})
+    return found.select("location_id", "date", "province_key", "precipitation_mm")
+
+
+@query("snapshot_view", sql.select("snapshot", ["location_id", "snapshot_date", "climate_index_total"]))
+def _(spark, d):
+    """The snapshot as a view, read by its name."""
+    name = f"snapshot_{uuid.uuid4().hex}"
+    tables.as_view(_models(spark, d).location_snapshot, name)
+    return spark.sql(f"SELECT location_id, snapshot_date, climate_index_total FROM {name}")
+
+
+@query("documented_tables", sql.documented({"dim_loc": "dim_location", "legacy_daily": "legacy_daily"}))
+def _(spark, d):
+    """Comments of stored tables and their columns, as the catalogue tells them, and rows held."""
+    database, out = f"documented_{uuid.uuid4().hex}", new_path(spark, "documented")
+    spark.sql(f"CREATE DATABASE {database}")
+    relations = {
+        "dim_location": _plan(spark, d).dim_location,
+        "legacy_daily": legacy.daily(adapter.observations(spark, d)),
+    }
+    rows = []
+    for name, df in relations.items():
+        stored = catalogue.save_documented(df, database, name, f"{out}/{name}")
+        rows.append((name, stored.count()))
+    told = catalogue.comments(spark, database)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    held = spark.createDataFrame(rows, "relation string, row_count bigint")
+    return told.where("column_comment IS NOT NULL").join(held, "relation")
+
+
+@query(
+    "backfill_years",
+    sql.chain("legacy_daily") + f"SELECT {sql.columns(sql.LEGACY_COLUMNS)} FROM legacy_daily WHERE year(date) >= 1994",
+)
+def _(spark, d):
+    """Slices of years loaded one by one into a table; stopped after two, then gone on with."""
+    raw_rows, table = adapter.observations(spark, d), new_path(spark, "daily")
+    daily = stage(legacy.daily(raw_rows), "daily")
+    slices = windows.year_slices(1994, tail_end=_date_span(daily)[1], reverse=True)
+
+    def load(first: date, last: date) -> None:
+        incremental.upsert(windows.date_window(daily, first, last), table, legacy.KEY, streaming.CLUSTER_BY)
+
+    for done, _ in enumerate(windows.resume_backfill(spark, slices, load, f"{table}.slices"), 1):
+        if done == 2:
+            break
+    list(windows.resume_backfill(spark, slices, load, f"{table}.slices"))
+    return incremental.read_table(spark, table)
+
+
 @query(
     "empty_source",
     sql.chain("stg") + "SELECT count(*) AS n, count(location_id) AS located FROM stg",
@@ -853,6 +971,63 @@ def _(spark, d):
     return checks.coverage(models.location_snapshot, models.dim_location, minimum=2)
 
 
+@query(
+    "check_coverage_threshold",
+    sql.chain("snapshot", "dim_loc")
+    + """SELECT scope, """ + sql.cut("ratio") + """ AS coverage_ratio FROM (
+    SELECT 'all' AS scope, (SELECT count(*) FROM snapshot) / CAST(count(*) AS DOUBLE) AS ratio FROM dim_loc
+    UNION ALL SELECT 'active', (SELECT count(*) FROM snapshot WHERE is_active) / CAST(count(*) AS DOUBLE)
+    FROM dim_loc
+    UNION ALL SELECT 'observed', (SELECT count(*) FROM snapshot) / CAST(count(*) AS DOUBLE)
+    FROM dim_loc WHERE location_id IN (SELECT location_id FROM snapshot))
+WHERE ratio < 0.95""",
+)
+def _(spark, d):
+    """The threshold as it stands, on a snapshot that meets it and on one of active locations."""
+    models = _models(spark, d)
+    snapshot = stage(models.location_snapshot.select("location_id", "is_active"), "snapshot")
+    dim = models.dim_location
+    seen = dim.join(snapshot, "location_id", "left_semi")
+    scopes = {"all": (snapshot, dim), "active": (snapshot.where("is_active"), dim), "observed": (snapshot, seen)}
+    parts = [checks.coverage(s, of).select(F.lit(n).alias("scope"), "coverage_ratio") for n, (s, of) in scopes.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+#: The suite's relations and where their SQL counterparts are.
+SUITE_RELATIONS = {
+    "stg_locations": "stg_loc",
+    "stg_weather": "stg",
+    "stg_tax": "tax",
+    "stg_yields": "stg_yields",
+    "current_locations": "current",
+    "weather_base": "base",
+    "yields": "yields",
+    "tax": "tax",
+    "dim_location": "dim_loc",
+    "dim_province": "dim_prov",
+    "fct_weather": "fact",
+    "fct_tax": "fct_tax",
+    "fct_yield": "fct_yield",
+    "mart_province_campaign": "mart",
+    "location_snapshot": "snapshot",
+    "legacy_daily": "legacy_daily",
+}
+
+
+@query("check_suite", sql.suite(suite.SUITE, SUITE_RELATIONS))
+def _(spark, d):
+    """Every declared check over the whole model graph, one pass over each relation."""
+    models = _models(spark, d)
+    models.fct_weather = models.keep(models.fct_weather, "fct_weather")
+    others = {
+        "stg_tax": lambda: staging.tax(adapter.tax_csv(spark, d)),
+        "stg_yields": lambda: staging.yields(adapter.yield_csv(spark, d)),
+        "legacy_daily": lambda: legacy.daily(_flat(spark, d)),
+    }
+    relations = {n: others[n]() if n in others else getattr(models, n) for n in SUITE_RELATIONS}
+    return suite.run_suite(relations)
+
+
 @query(
     "check_prefers_usable",
     sql.chain("partial")

@@ -9,6 +9,8 @@ the last bit would decide.
 
 from __future__ import annotations
 
+from pampero.sources.schemas import COMMENTS, RELATIONS
+
 # Source variable, name of the measure, its first-generation name.
 VARIABLES = [
     ("T2M_MAX", "max_air_temp_c", "t2m_max"),
@@ -435,7 +437,7 @@ FROM dated""",
     ),
     "quality": (
         ["metrics"],
-        f"""SELECT *, {" OR ".join(FLAGS)} = FALSE AS is_quality_approved
+        f"""SELECT *, NOT ({" OR ".join(FLAGS)}) AS is_quality_approved
 FROM (SELECT *,
     {_number_of_nulls(["avg_air_temp_c", "min_air_temp_c", "max_air_temp_c", "precipitation_mm"])}
         AS critical_null_count,
@@ -453,9 +455,7 @@ FROM (SELECT *,
     CASE WHEN {_RH} IS NOT NULL AND avg_air_temp_c IS NOT NULL
         THEN {_RH} >= 80 AND avg_air_temp_c >= 15 AND avg_air_temp_c <= 30
             AND precipitation_mm IS NOT NULL AND precipitation_mm > 0 END AS fungal_risk_day
-FROM metrics)""".replace(
-            f"{' OR '.join(FLAGS)} = FALSE", f"NOT ({' OR '.join(FLAGS)})"
-        ),
+FROM metrics)""",
     ),
     "partial": (
         ["quality"],
@@ -749,3 +749,42 @@ def columns(names: list[str]) -> str:
 def select(step: str, names: list[str], where: str = "", also: list[str] | None = None) -> str:
     tail = f" WHERE {where}" if where else ""
     return chain(step, *(also or [])) + f"SELECT {columns(names)} FROM {step}{tail}"
+
+
+def suite(declared: dict, relations: dict[str, str]) -> str:
+    """Failures of every declared check, each counted by itself."""
+    counts = []
+    for relation, step in relations.items():
+        for check in declared[relation]:
+            if hasattr(check, "holds"):
+                label = check.label
+                count = f"count(*) FILTER (WHERE ({check.where}) AND NOT ({check.holds})) FROM {step}"
+            elif hasattr(check, "columns"):
+                label = f"unique {', '.join(check.columns)}"
+                keys = ", ".join(check.columns)
+                lone = f"WHERE {keys} IS NOT NULL" if len(check.columns) == 1 else ""
+                count = f"count(*) FROM (SELECT 1 FROM {step} {lone} GROUP BY {keys} HAVING count(*) > 1)"
+            else:
+                label, key = f"known {check.column}", check.column
+                count = (
+                    f"count(DISTINCT {key}) FROM {step} AS c WHERE NOT EXISTS "
+                    f"(SELECT 1 FROM {relations[check.parent]} AS p WHERE p.{key} = c.{key})"
+                )
+            counts.append(f"SELECT '{relation}' AS relation, '{label}' AS \"check\", {count}")
+    head = chain(*dict.fromkeys(relations.values()))
+    return head + "SELECT relation, \"check\", n AS failures FROM (" + "\nUNION ALL ".join(counts) + ") AS t(relation, \"check\", n)"
+
+
+def documented(relations: dict[str, str]) -> str:
+    """The comments set on stored relations, and how many rows these hold."""
+    listed = []
+    names = {"dim_loc": [*LOCATION_COLUMNS, "record_loaded_at", "is_catalog_location"], "legacy_daily": LEGACY_COLUMNS}
+    for step, relation in relations.items():
+        for name in names[step]:
+            if name in COMMENTS:
+                listed.append(
+                    f"SELECT '{relation}' AS relation, '{RELATIONS[relation]}' AS relation_comment, "
+                    f"'{name}' AS \"column\", '{COMMENTS[name]}' AS column_comment, "
+                    f"(SELECT count(*) FROM {step}) AS row_count"
+                )
+    return chain(*relations) + "\nUNION ALL ".join(listed)
