@@ -75,7 +75,7 @@ def test_json_is_parsed_once_per_row(spark):
     assert text.count("from_json(StructField(location_id,StringType") == 1
     # The others read one member each, in a branch for values that begin like an object or array.
     assert text.count("from_json(") - 1 == text.count("VariantType") > 0
-    asked = [m.start() for m in re.finditer(r"schema_of_variant\(", text)]
+    asked = [m.start() for m in re.finditer(r"SchemaOfVariant.schemaOfVariant\(", text)]
     assert asked and all("THEN CASE WHEN" in text[at - 120 : at] for at in asked)
 
 
