@@ -6,10 +6,12 @@ any name do not disturb it.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +36,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     are, and a lost executor costs a re-read. Texts make up most of it, hence the dense codec.
     """
     path = new_path(df.sparkSession, name)
+    STAGED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tables staged, in order, for whoever knows when they are not needed any more.
+STAGED: list[str] = []
+
+
+class Shared:
+    """A value all tasks read. It is sent as bytes that hold the code of its classes too, so that
+    executors need no copy of the package; a broadcast by itself names classes only."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        return pickle.loads(self.held.value)
+
+
 def text_bytes(column: str = "text") -> Column:
     """The whole text as UTF-8 bytes; null is empty."""
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")

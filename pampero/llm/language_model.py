@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pampero.llm.common import Words, buffers, fold, slices, stage, text_bytes
+from pampero.llm.common import Shared, Words, buffers, fold, slices, stage, text_bytes
 
 SPACES = b" \t\n\v\f\r"
 
@@ -263,7 +263,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 def encode(docs: DataFrame, vocab: Vocabulary, keep: list[str]) -> DataFrame:
     """Stored rows with the classes of a text's tokens, what its dictionary tokens add to the
     scores, and the tokens whose counts have to be joined."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+    shared = Shared(docs.sparkSession, vocab)
 
     def scan(batches):
         words, vocab = Words(SPACES), shared.value
@@ -314,7 +314,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, keep: list[str]) -> DataFrame:
 
 def train_round(encoded: DataFrame, model: Bilinear, shares: np.ndarray) -> Bilinear:
     """One pass over the rows given, in every task from the same model; the weighted mean."""
-    shared = encoded.sparkSession.sparkContext.broadcast((model, shares))
+    shared = Shared(encoded.sparkSession, (model, shares))
 
     def learn(batches):
         model, shares = shared.value
@@ -367,7 +367,7 @@ def train_round(encoded: DataFrame, model: Bilinear, shares: np.ndarray) -> Bili
 
 def class_scores(encoded: DataFrame, model: Bilinear, keep: list[str]) -> DataFrame:
     """Columns ``keep`` with the sum of the classes' log-probabilities of each text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(encoded.sparkSession, model)
 
     def score(batches):
         model = shared.value

@@ -96,15 +96,23 @@ class Cutter:
         return np.stack((starts, ends)), least[starts], hashes
 
 
-def pack40(values: np.ndarray) -> np.ndarray:
-    """The low five bytes of each value."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+#: A piece as it is dealt: five bytes of its key, which only bring pieces together, and all of
+#: its hash, which tells whether they are the same.
+PIECE = np.dtype([("key", np.uint8, 5), ("hash", "<u8")])
 
 
-def unpack40(packed: np.ndarray) -> np.ndarray:
-    wide = np.zeros((len(packed), 8), np.uint8)
-    wide[:, :5] = packed
-    return wide.reshape(-1).view("<u8")
+def pack(keys: np.ndarray, hashes: np.ndarray) -> bytes:
+    pieces = np.empty(len(keys), PIECE)
+    pieces["key"] = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    pieces["hash"] = hashes
+    return pieces.tobytes()
+
+
+def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    pieces = np.frombuffer(body, PIECE)
+    wide = np.zeros((len(pieces), 8), np.uint8)
+    wide[:, :5] = pieces["key"]
+    return wide.reshape(-1).view("<u8"), pieces["hash"]
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -156,20 +164,19 @@ def cut_texts(texts: DataFrame, length: int, parts: int) -> DataFrame:
         def add(part, of, body):
             docs, n = np.unique(of, return_counts=True)
             for column, value in zip(
-                out, (part, ranks[docs].tobytes(), variants[docs].tobytes(), n.astype(np.int32).tobytes(), body.tobytes())
+                out, (part, ranks[docs].tobytes(), variants[docs].tobytes(), n.astype(np.int32).tobytes(), body)
             ):
                 column.append(value)
 
         own = np.flatnonzero(settled)
         if len(own):
-            add(-1 - int(fold(same[:1])[0] % np.uint64(parts)), doc[own], number[own].astype(np.uint32))
+            add(-1 - int(fold(same[:1])[0] % np.uint64(parts)), doc[own], number[own].astype(np.uint32).tobytes())
         left = np.flatnonzero(~settled)
         where = part_of(keys[left], parts)
         by_part = np.argsort(where, kind="stable")
         edges = np.flatnonzero(np.append(True, np.diff(where[by_part]) != 0)) if len(left) else []
         for group in np.split(left[by_part], edges[1:]) if len(left) else []:
-            body = np.concatenate((pack40(keys[group]), pack40(hashes[group])), axis=1)
-            add(int(part_of(keys[group[:1]], parts)[0]), doc[group], body)
+            add(int(part_of(keys[group[:1]], parts)[0]), doc[group], pack(keys[group], hashes[group]))
         kinds = [pa.int64(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(out, kinds)],
@@ -191,8 +198,7 @@ def compare(frame: pd.DataFrame) -> pd.DataFrame:
     if part < 0:
         cells = [body[4 * a : 4 * b] for a, b in zip(bounds[:-1], bounds[1:])]
         return pd.DataFrame({"rank": ranks, "variant": variants, "part": -1, "flags": cells})
-    packed = np.frombuffer(body, np.uint8).reshape(-1, 10)
-    keys, hashes = unpack40(packed[:, :5]), unpack40(packed[:, 5:])
+    keys, hashes = unpack(body)
     rank = np.repeat(ranks, counts)
     order = np.lexsort((rank, hashes, keys))
     k, h, r = keys[order], hashes[order], rank[order]

@@ -12,16 +12,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pampero.llm.common import Words, buffers, slices, text_bytes
+from pampero.llm.common import Shared, Words, buffers, slices, text_bytes
 
 BUCKET_BITS = 18
 FACTORS = 8
 
-#: Labelled rows the machine is fitted on at most, first by a hash of their id.
-FIT_ROWS = 20_000
+#: Labelled rows the machine is fitted on at most, first by a hash of their id, and bytes of
+#: their term sets, four a distinct term; the first row is taken whatever its size.
+FIT_ROWS, FIT_BYTES = 20_000, 64 << 20
 
 EPOCHS, BATCH, RATE, START, SEED = 20, 256, 0.3, 0.1, 7
 
@@ -160,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Machine | N
     )
     # Merged by id whatever the sizes: labels grow with the documents, so a plan that sends
     # them to every task would be another one on a larger table.
-    sample = (
+    named = (
         learned.where(order <= last)
         .select("doc_id", text_bytes().alias("body"))
         .mapInArrow(terms, f"doc_id {kind}, terms binary")
@@ -168,8 +169,12 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Machine | N
         .select("doc_id", "terms", "toxic")
         .orderBy(order, "doc_id", "terms")
         .limit(FIT_ROWS)
-        .collect()
     )
+    # Over the rows of the bound alone.
+    ahead = Window.orderBy(order, "doc_id", "terms").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce(F.sum(F.octet_length("terms")).over(ahead), F.lit(0))
+    fits = (held == 0) | (held + F.octet_length("terms") <= FIT_BYTES)
+    sample = named.withColumn("fits", fits).where("fits").drop("fits").collect()
     if not sample:
         return None
     sets = [np.frombuffer(r["terms"], np.int32) for r in sample]
@@ -201,7 +206,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Da
 
 def apply(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
     """Columns ``keep`` with ``score, predicted`` of the text in ``body``."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = Shared(docs.sparkSession, machine)
 
     def score(batches):
         words, machine = Words(SEPARATORS), shared.value

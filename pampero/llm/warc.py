@@ -84,7 +84,9 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         F.xxhash64(html).alias("payload_check"),
     ).distinct()
     first = slim.groupBy(*same).agg(F.min("page_id").alias("first_id"))
-    revisit = (F.col("payload_bytes") >= min_bytes) & (F.col("page_id") > F.col("first_id"))
+    # A page without an id comes after all that have one.
+    later = F.coalesce(F.col("page_id") > F.col("first_id"), F.col("first_id").isNotNull())
+    revisit = (F.col("payload_bytes") >= min_bytes) & later
     return slim.join(first, same).select(
         "page_id",
         "payload_bytes",
@@ -99,8 +101,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
     """Write a record per page under ``folder``; returns ``surt`` and ``CAPTURE`` of each.
 
     Every row is a record of its own: rows that repeat a page and its payload are captured
-    each, alike. A page whose id is null is a response, since nothing can refer to it. Null html is
-    empty; a null URL is left out of the header. Records are compressed one by one, so each
+    each, alike. A page whose id is null revisits one that has an id; among pages without any, each
+    is a response. Null html is empty; a null URL is left out of the header. Records are compressed one by one, so each
     can be read alone. The captures name the files of tasks that ended well; what a task left
     that did not is in no index.
     """

@@ -2,13 +2,16 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
 import sys
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -318,6 +321,27 @@ def test_repeats_are_removed_as_by_brute_force(spark, monkeypatch, hot):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_pieces_are_the_same_only_if_their_whole_hashes_are():
+    """Three pieces of one key: two alike in the low 40 bits of their hashes, two altogether."""
+    keys = np.full(3, (1 << 63) + 12345, np.uint64)
+    hashes = np.array([(7 << 40) + 99, (8 << 40) + 99, (7 << 40) + 99], np.uint64)
+    body = suffix_dedup.pack(keys, hashes)
+    got_keys, got_hashes = suffix_dedup.unpack(body)
+    assert (got_keys == 12345).all() and (got_hashes == hashes).all()
+    one = np.int32(1).tobytes()
+    frame = pd.DataFrame(
+        {
+            "part": [3] * 3,
+            "ranks": [np.int64(r).tobytes() for r in (10, 20, 30)],
+            "variants": [np.int64(0).tobytes()] * 3,
+            "counts": [one] * 3,
+            "pieces": [body[i * 13 : i * 13 + 13] for i in range(3)],
+        }
+    )
+    flags = {r.rank: r.flags[0] for r in suffix_dedup.compare(frame).itertuples(index=False)}
+    assert flags == {10: suffix_dedup.OPEN, 20: suffix_dedup.OPEN, 30: suffix_dedup.COVERED}
+
+
 # --- learned labels ------------------------------------------------------------------------------
 
 
@@ -405,6 +429,71 @@ def test_captures_are_found_by_url(spark, monkeypatch):
     assert (everything[15].record_type, everything[15].refers_to) == ("revisit", 4)
 
 
+def test_pages_without_an_id_revisit_those_that_have_one(spark):
+    prepare(spark)
+    rows = [(None, "u", "same"), (4, "v", "same"), (2, "w", "same"), (None, "x", "own"), (None, "x", "own"), (7, "y", None), (7, "y", None)]
+    pages = spark.createDataFrame([(i, u, h, 1) for i, u, h in rows], "page_id long, url string, html string, payload_bytes int")
+    got = Counter(tuple(r) for r in warc.archive_and_read(pages).select("page_id", "record_type", "refers_to").collect())
+    assert got == Counter(
+        [(None, "revisit", 2), (4, "revisit", 2), (2, "response", None)]
+        + [(None, "response", None)] * 2
+        + [(7, "response", None)] * 2
+    )
+    assert warc.archive_and_read(pages.where("false")).collect() == []
+
+
+# --- executors ---------------------------------------------------------------------------------
+
+ELSEWHERE = """
+import sys, tempfile
+sys.path.insert(0, {repo!r})
+from pampero.session import build_session
+spark = build_session("elsewhere", "local[2]", **{{
+    "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(dir={folder!r}),
+    "spark.sql.shuffle.partitions": "4"}})
+def alone(batches):
+    for batch in batches:
+        try:
+            import pampero
+        except ImportError:
+            yield batch
+assert spark.range(4).mapInArrow(alone, "id long").count() == 4, "workers find the package"
+from pampero.llm.queries import QUERIES
+for name in sorted(QUERIES):
+    if name.split("_")[0] in ("op1", "op6", "op9", "op11", "op13"):
+        print(name, QUERIES[name](spark, {data!r}).count(), flush=True)
+"""
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Run where neither the folder nor the path of the workers leads to it."""
+    code = ELSEWHERE.format(repo=str(Path(__file__).resolve().parents[2]), folder=str(tmp_path), data=DATA)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    kept = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and not Path(p, "pampero").exists()]
+    ran = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env | {"PYTHONPATH": os.pathsep.join(kept)},
+        capture_output=True, text=True, timeout=600,
+    )
+    assert ran.returncode == 0, ran.stderr[-3000:]
+    assert len(ran.stdout.split()) == 10
+
+
+def test_the_sample_to_fit_on_is_bounded_in_bytes(spark, monkeypatch):
+    prepare(spark)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(50)) + (" vile" if i % 2 else " calm"), i % 2) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, truth int")
+    labels = docs.select("doc_id", F.col("truth").alias("toxic"))
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda features, sets, *rest: seen.extend(sets))
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 10 * 51 * 4 + 1)
+    toxicity.train(docs, labels, F.lit(True))
+    assert len(seen) == 10
+    seen.clear()
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 1)
+    toxicity.train(docs, labels, F.lit(True))
+    assert len(seen) == 1
+
+
 # --- pipeline ------------------------------------------------------------------------------------
 
 
@@ -440,3 +529,24 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     rows = [(5, one), (5, one), (None, one), (7, one), (None, two), (None, two), (5, three), (None, "")]
     got = corpus_pipeline.keep_one_of_alike(spark, said([*rows, (None, "")]), str(tmp_path))
     assert left(got) == Counter([(5, one), (None, two), (5, three), (None, ""), (None, "")])
+
+
+def test_pipeline_deletes_what_stages_staged(spark):
+    """A stage deletes what the one before it left, once that one's result is written."""
+    prepare(spark)
+    docs = corpus_pipeline.read(spark, DATA, "documents")
+    held = []
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        path = new_path(spark, "stage")
+        stage(spark, docs, DATA).write.parquet(path)
+        docs = spark.read.parquet(path)
+        held.append([Path(p.removeprefix("file:")) for p in corpus_pipeline.LEFT])
+    assert held[1] and held[2]
+    assert not any(p.exists() for p in held[1]) and all(p.exists() for p in held[2])
+    # A result that is not written yet keeps what it reads.
+    lazy = corpus_pipeline.drop_repeated_lines(spark, docs, DATA)
+    unwritten = dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, DATA)
+    kept = [*corpus_pipeline.LEFT]
+    dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, unwritten, DATA)
+    assert all(Path(p.removeprefix("file:")).exists() for p in kept)
+    assert lazy.count() == unwritten.count()
