@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pampero.llm import bpe, decontamination, line_dedup, ngram_join, toxicity
-from pampero.llm.common import prepare, stage, text_bytes
-from pampero.workspace import new_path
+from pampero.llm.common import STAGED, prepare, stage, text_bytes
+from pampero.workspace import discard, new_path
 
 #: The columns of documents, which all stages but the last return.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -92,12 +92,40 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+#: What the last stage staged.
+LEFT: list[str] = []
+
+
+def tidy(step: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """A stage that first deletes what the one before it staged.
+
+    Its result is written and read again by then, and given as ``docs``; if it still reads what was
+    staged, nothing is deleted.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        left, LEFT[:] = [*LEFT], []
+        if left and any(path in file for file in docs.inputFiles() for path in left):
+            STAGED.extend(left)
+        else:
+            for path in left:
+                discard(spark, path)
+        before = len(STAGED)
+        result = step(spark, docs, sf_dir)
+        LEFT[:] = STAGED[before:]
+        del STAGED[before:]
+        return result
+
+    run_stage.__name__, run_stage.__doc__ = step.__name__, step.__doc__
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", drop_toxic),
-    ("line dedup", drop_repeated_lines),
-    ("n-gram Jaccard join", keep_one_of_alike),
-    ("benchmark decontamination", drop_contaminated),
-    ("BPE encoding and decoding", encode),
+    ("toxicity", tidy(drop_toxic)),
+    ("line dedup", tidy(drop_repeated_lines)),
+    ("n-gram Jaccard join", tidy(keep_one_of_alike)),
+    ("benchmark decontamination", tidy(drop_contaminated)),
+    ("BPE encoding and decoding", tidy(encode)),
 ]
 
 #: Neither learned scores nor token ids can be said in SQL.
@@ -106,9 +134,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over documents; each result is written and read again."""
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, step in STAGES[:-1]:
         path = new_path(spark, name.replace(" ", "-"))
         step(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
