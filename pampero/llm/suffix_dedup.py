@@ -6,7 +6,8 @@ repeats are found key by key. A piece met again as a whole is settled by its has
 key that differ are sorted together: their collection's Burrows-Wheeler transform is built column
 by column, one symbol of every piece entering in each round, from the last to the first, and the
 common prefixes of neighbouring suffixes are kept up to date with it. Suffixes whose common
-prefix reaches ``length`` are the same window.
+prefix reaches ``length`` are the same window. Pieces none of whose windows shares its hash with
+another window of the collection cannot hold a repeat and are left out of it beforehand.
 
 The transform of a collection lives in one task's memory, written anew from front to back each
 round: collections are bounded (``COLLECTION`` pieces and the rest of one key), so they need no
@@ -96,6 +97,26 @@ class Cutter:
         return np.stack((starts, ends)), least[starts], hashes
 
 
+    def sharing(self, strings: list[bytes]) -> np.ndarray:
+        """Which strings have a window whose hash occurs again among all of theirs: no other can
+        have a window in common with one."""
+        lengths = np.array([len(s) for s in strings])
+        raw = np.frombuffer(b"".join(strings), np.uint8)
+        self._reach(len(raw) + 1)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.powers[: len(raw)], out=sums[1:])
+        counts = np.maximum(lengths - self.length + 1, 0)
+        owner = np.repeat(np.arange(len(strings)), counts)
+        begins = np.cumsum(lengths) - lengths - (np.cumsum(counts) - counts)
+        at = np.arange(len(owner)) + begins[owner]
+        hashes = (sums[at + self.length] - sums[at]) * self.inverses[at]
+        order = np.argsort(hashes)
+        again = np.diff(hashes[order]) == 0
+        met = np.zeros(len(strings), bool)
+        met[owner[order[:-1][again]]] = met[owner[order[1:][again]]] = True
+        return np.flatnonzero(met)
+
+
 #: A piece as it is dealt: five bytes of its key, which only bring pieces together, and all of
 #: its hash, which tells whether they are the same.
 PIECE = np.dtype([("key", np.uint8, 5), ("hash", "<u8")])
@@ -505,7 +526,10 @@ def repeats_of(opened: DataFrame, length: int) -> DataFrame:
         if held:
             yield settle(held)
 
+    cutter = Cutter(length)
+
     def settle(held):
+        held = [held[i] for i in cutter.sharing([h[4] for h in held])]
         ranks = np.array([h[1] for h in held], np.int64)
         owner, start = Collection([h[4] for h in held]).repeated(length, ranks)
         variants = np.array([h[2] for h in held], np.int64)
