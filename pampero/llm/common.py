@@ -45,6 +45,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 STAGED: list[str] = []
 
 
+def release(spark: SparkSession) -> None:
+    """Have the files of finished shuffles deleted: Spark does so once the driver has noticed that
+    nothing refers to them, which it otherwise may not for long."""
+    spark._jvm.System.gc()
+
+
 class Shared:
     """A value all tasks read. It is sent as bytes that hold the code of its classes too, so that
     executors need no copy of the package; a broadcast by itself names classes only."""

@@ -30,6 +30,7 @@ from pampero.llm.common import (
     cell_filter,
     fold,
     in_cells,
+    release,
     slices,
     stage,
     text_bytes,
@@ -117,23 +118,20 @@ class Cutter:
         return np.flatnonzero(met)
 
 
-#: A piece as it is dealt: five bytes of its key, which only bring pieces together, and all of
+#: A piece as it is dealt: four bytes of its key, which only bring pieces together, and all of
 #: its hash, which tells whether they are the same.
-PIECE = np.dtype([("key", np.uint8, 5), ("hash", "<u8")])
+PIECE = np.dtype([("key", "<u4"), ("hash", "<u8")])
 
 
 def pack(keys: np.ndarray, hashes: np.ndarray) -> bytes:
     pieces = np.empty(len(keys), PIECE)
-    pieces["key"] = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    pieces["hash"] = hashes
+    pieces["key"], pieces["hash"] = keys & np.uint64(0xFFFFFFFF), hashes
     return pieces.tobytes()
 
 
 def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     pieces = np.frombuffer(body, PIECE)
-    wide = np.zeros((len(pieces), 8), np.uint8)
-    wide[:, :5] = pieces["key"]
-    return wide.reshape(-1).view("<u8"), pieces["hash"]
+    return pieces["key"], pieces["hash"]
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -401,7 +399,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.collect_list(F.struct("part", "flags")).alias("told")
     )
     met = looked.join(told.select("rank", "variant"), ["rank", "variant"])
+    release(spark)
     opened = stage(open_pieces(read_texts(docs, met), told, length, parts), "met-texts")
+    release(spark)
     found = repeats_of(opened, length)
     results = measured(opened, found, length)
 

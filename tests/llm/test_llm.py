@@ -335,7 +335,7 @@ def test_pieces_are_the_same_only_if_their_whole_hashes_are():
             "ranks": [np.int64(r).tobytes() for r in (10, 20, 30)],
             "variants": [np.int64(0).tobytes()] * 3,
             "counts": [one] * 3,
-            "pieces": [body[i * 13 : i * 13 + 13] for i in range(3)],
+            "pieces": [body[i * 12 : i * 12 + 12] for i in range(3)],
         }
     )
     flags = {r.rank: r.flags[0] for r in suffix_dedup.compare(frame).itertuples(index=False)}
