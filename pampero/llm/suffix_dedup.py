@@ -6,8 +6,8 @@ repeats are found key by key. A piece met again as a whole is settled by its has
 key that differ are sorted together: their collection's Burrows-Wheeler transform is built column
 by column, one symbol of every piece entering in each round, from the last to the first, and the
 common prefixes of neighbouring suffixes are kept up to date with it. Suffixes whose common
-prefix reaches ``length`` are the same window. Pieces none of whose windows shares its hash with
-another window of the collection cannot hold a repeat and are left out of it beforehand.
+prefix reaches ``length`` are the same window. Windows that share their hash with no other of the
+collection cannot be repeats, so pieces enter it from their first window that does to their last.
 
 The transform of a collection lives in one task's memory, written anew from front to back each
 round: collections are bounded (``COLLECTION`` pieces and the rest of one key), so they need no
@@ -98,9 +98,9 @@ class Cutter:
         return np.stack((starts, ends)), least[starts], hashes
 
 
-    def sharing(self, strings: list[bytes]) -> np.ndarray:
-        """Which strings have a window whose hash occurs again among all of theirs: no other can
-        have a window in common with one."""
+    def sharing(self, strings: list[bytes]) -> list[tuple[int, int, int]]:
+        """Strings with windows whose hash occurs again among all of theirs, and the first and last
+        of these windows: no other can be in common with one."""
         lengths = np.array([len(s) for s in strings])
         raw = np.frombuffer(b"".join(strings), np.uint8)
         self._reach(len(raw) + 1)
@@ -113,9 +113,17 @@ class Cutter:
         hashes = (sums[at + self.length] - sums[at]) * self.inverses[at]
         order = np.argsort(hashes)
         again = np.diff(hashes[order]) == 0
-        met = np.zeros(len(strings), bool)
-        met[owner[order[:-1][again]]] = met[owner[order[1:][again]]] = True
-        return np.flatnonzero(met)
+        met = np.zeros(len(owner), bool)
+        met[order[:-1][again]] = met[order[1:][again]] = True
+        met = np.flatnonzero(met)
+        strings_met, first = np.unique(owner[met], return_index=True)
+        last = np.append(first[1:], len(met)) - 1
+        begin = (np.cumsum(lengths) - lengths)[strings_met]
+        return list(
+            zip(strings_met.tolist(), (at[met[first]] - begin).tolist(), (at[met[last]] - begin).tolist())
+            if len(met)
+            else ()
+        )
 
 
 #: A piece as it is dealt: four bytes of its key, which only bring pieces together, and all of
@@ -529,7 +537,11 @@ def repeats_of(opened: DataFrame, length: int) -> DataFrame:
     cutter = Cutter(length)
 
     def settle(held):
-        held = [held[i] for i in cutter.sharing([h[4] for h in held])]
+        # Of each piece, the stretch from its first to its last window that may be met.
+        held = [
+            (*held[i][:3], held[i][3] + a, held[i][4][a : b + length])
+            for i, a, b in cutter.sharing([h[4] for h in held])
+        ]
         ranks = np.array([h[1] for h in held], np.int64)
         owner, start = Collection([h[4] for h in held]).repeated(length, ranks)
         variants = np.array([h[2] for h in held], np.int64)

@@ -321,6 +321,20 @@ def test_repeats_are_removed_as_by_brute_force(spark, monkeypatch, hot):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_stretches_hold_all_windows_met_again():
+    rng = random.Random(7)
+    cutter = suffix_dedup.Cutter(5)
+    for _ in range(300):
+        strings = [bytes(rng.choices(b"abc", k=rng.randrange(14))) for _ in range(rng.randrange(1, 12))]
+        seen = Counter(s[i : i + 5] for s in strings for i in range(len(s) - 4))
+        want = []
+        for j, s in enumerate(strings):
+            met = [i for i in range(len(s) - 4) if seen[s[i : i + 5]] > 1]
+            if met:
+                want.append((j, met[0], met[-1]))
+        assert cutter.sharing(strings) == want
+
+
 def test_pieces_are_the_same_only_if_their_whole_hashes_are():
     """Three pieces of one key: two alike in the low 40 bits of their hashes, two altogether."""
     keys = np.full(3, (1 << 63) + 12345, np.uint64)
