@@ -367,6 +367,89 @@ def test_languages_are_told_apart(spark):
     assert right > 0.98
 
 
+def brute_kneser_ney(texts, alphabet):
+    """Probability of a symbol after three others, from plain counts of one language's texts."""
+    symbols, starts, _ = alphabet([t.encode() for t in texts])
+    counts = Counter()
+    for a, b in zip(starts[:-1], starts[1:]):
+        text = [int(x) for x in symbols[a:b]]
+        counts.update(tuple(text[i - 3 : i + 1]) for i in range(3, len(text)))
+    orders = [counts]
+    for k in (3, 2, 1):
+        orders.insert(0, Counter(g[1:] for g in orders[0]))
+    first = orders[0]
+
+    def probability(gram):
+        if len(gram) == 1:
+            return (first[gram] + 0.5) / (sum(first.values()) + 0.5 * (len(first) + 1))
+        same = {g: n for g, n in orders[len(gram) - 1].items() if g[:-1] == gram[:-1]}
+        lower = probability(gram[1:])
+        if not same:
+            return lower
+        total = sum(same.values())
+        return max(same.get(gram, 0) - 0.75, 0) / total + 0.75 * len(same) / total * lower
+
+    return probability, sorted(first)
+
+
+def packed(gram):
+    return sum(c << 16 * (len(gram) - 1 - i) for i, c in enumerate(gram))
+
+
+def test_language_models_add_up_however_much_is_cut(spark, monkeypatch):
+    texts = {
+        "a": ["the cat sat on the mat", "the hat", "", "12 !"],
+        "b": ["der hut und der hund", "Der Mond"],
+    }
+    learn = spark.createDataFrame([(x, t) for x, many in texts.items() for t in many], "lang string, text string")
+    alphabet = language_id.Alphabet(language_id.symbol_table())
+    rng = np.random.default_rng(3)
+    for bound in (400_000, 24, 1):
+        monkeypatch.setattr(language_id, "MODEL_GRAMS", bound)
+        model = language_id.train(learn)
+        for i, lang in enumerate(model.languages):
+            _, seen = brute_kneser_ney(texts[lang], alphabet)
+            letters = [int(g[0]) for g in seen]
+            grams = [tuple(int(x) for x in rng.choice(letters, 4)) for _ in range(8)]
+            grams += [(32, 32, 32, ord("t")), tuple(map(ord, "the ")), tuple(map(ord, "der "))]
+            # All symbols of any language and one for those never met share the whole.
+            every = sorted({int(k) for x in texts for k, in brute_kneser_ney(texts[x], alphabet)[1]})
+            for g in grams:
+                asked = np.array([packed((*g[:3], c)) for c in [*every, 0xFFFE]], np.uint64)
+                assert np.isclose((10 ** model.log10(asked)[:, i]).sum(), 1, atol=1e-5)
+
+
+def test_one_language_alone_is_kneser_ney(spark):
+    texts = ["the cat sat on the mat", "the hat", "that is it"]
+    alphabet = language_id.Alphabet(language_id.symbol_table())
+    model = language_id.train(spark.createDataFrame([("a", t) for t in texts], "lang string, text string"))
+    probability, seen = brute_kneser_ney(texts, alphabet)
+    letters = [int(g[0]) for g in seen]
+    rng = np.random.default_rng(3)
+    grams = [tuple(int(x) for x in rng.choice(letters, 4)) for _ in range(200)]
+    got = 10 ** model.log10(np.array([packed(g) for g in grams], np.uint64))[:, 0]
+    assert np.allclose(got, [probability(g) for g in grams], rtol=1e-5)
+
+
+def test_three_hundred_languages(spark):
+    """A language each of few letters: the model holds what they hold, not languages times grams."""
+    rng = np.random.default_rng(8)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
+    rows = []
+    for i in range(300):
+        own = letters[3 * i : 3 * i + 3] + ["e", "n"]
+        rows += [(j * 300 + i, " ".join("".join(rng.choice(own, 5)) for _ in range(12)), f"l{i:03}") for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs.select("lang", "text"))
+    assert len(model.languages) == 300
+    entries = sum(len(x.shares.value) for x in model.levels) + len(model.single.value)
+    assert entries < 300 * 1000
+    got = language_id.identify(docs, F.col("doc_id") < 600)
+    told = {r.doc_id: r.lang_pred for r in got.collect()}
+    right = sum(told[i] == lang for i, _, lang in rows if i >= 600)
+    assert right == 300
+
+
 def test_letterless_texts_have_no_language(spark, docs):
     got = {r.doc_id: r for r in language_id.identify(docs, fold(3) != 1).collect()}
     assert {got[i].lang_pred for i in (3, 4, 5)} == {"und"} and got[3].score == 0
