@@ -232,18 +232,21 @@ def index_captures(captures: DataFrame, index: str) -> None:
     )
 
     def blocks(batches):
-        held, part, number = [], None, 0
+        held, part, number, first, last = [], None, 0, None, None
 
         def pack():
             body = zlib.compress("\n".join("\t".join(x) for x in held).encode(), 6)
             names = ["part", "block", "first_key", "last_key", "captures", "body"]
-            values = [part, number, held[0][0], held[-1][0], len(held), body]
+            values = [part, number, first, last, len(held), body]
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=names)
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
-                part = row[-1]
-                held.append(tuple("\\N" if v is None else str(v) for v in row[:-1]))
+                part, last = row[-1], row[0]
+                first = first if held else last
+                # A backslash is doubled, so that no URL looks like a null.
+                told = ("\\N" if v is None else str(v).replace("\\", "\\\\") for v in row[:-1])
+                held.append(tuple(told))
                 if len(held) == BLOCK_LINES:
                     yield pack()
                     held, number = [], number + 1
@@ -267,7 +270,8 @@ def index_captures(captures: DataFrame, index: str) -> None:
 
 def unpack(body: bytes) -> list[list[str | None]]:
     lines = zlib.decompress(body).decode().split("\n")
-    return [[None if v == "\\N" else v for v in x.split("\t")] for x in lines]
+    plain = lambda v: None if v == "\\N" else v.replace("\\\\", "\\")
+    return [[plain(v) for v in x.split("\t")] for x in lines]
 
 
 def capture_rows(lines) -> pa.RecordBatch:
@@ -297,12 +301,20 @@ def all_captures(spark: SparkSession, index: str) -> DataFrame:
 def lookup(spark: SparkSession, index: str, urls: DataFrame) -> DataFrame:
     """Captures of the URLs in column ``url``, with all columns of ``CAPTURE``.
 
-    A URL halves its way through the parts' spans, joins the directory of its part, halves its
-    way through that to its blocks, and searches each block unpacked.
-    A null URL finds the captures without a URL.
+    The key of a URL halves its way through the parts' spans, then through the directory of its
+    part to its blocks, then through each block, unpacked once for all keys that lead to it.
+    Equal URLs, and URLs of one key, are looked for once; what is found under a key is told by
+    the whole URL at the end. A null URL finds the captures without a URL.
     """
-    key = F.udf(surt, "string")
-    asked = urls.select(F.col("url").alias("asked")).distinct().withColumn("surt", key("asked"))
+    asked = urls.select("url").distinct()
+
+    def reverse(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([surt(u) for u in batch.column(0).to_pylist()], pa.string())], names=["surt"]
+            )
+
+    keys = asked.mapInArrow(reverse, "surt string").distinct()
     directory = spark.read.parquet(f"{index}/directory")
     # The spans of the parts, at most ``MAX_PARTS`` rows.
     spans = sorted(
@@ -312,66 +324,82 @@ def lookup(spark: SparkSession, index: str, urls: DataFrame) -> DataFrame:
         .select("low", "high", "part")
         .collect()
     )
-    lows = [low for low, _, _ in spans]
 
     def place(batches):
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                i = max(bisect.bisect_left(lows, r["surt"]) - 1, 0)
-                while i < len(lows) and lows[i] <= r["surt"]:
-                    if spans[i][1] >= r["surt"]:
-                        out.append((r["asked"], r["surt"], spans[i][2]))
-                    i += 1
-            columns = list(zip(*out)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.string(), pa.int64()])],
-                names=["asked", "surt", "part"],
-            )
+            yield led_to(batch.column(0).to_pylist(), spans, ["surt", "part"])
 
-    entries = directory.groupBy("part").agg(
-        F.sort_array(F.collect_list(F.struct("first_key", "last_key", "block"))).alias("entries")
-    )
-    placed = asked.mapInArrow(place, "asked string, surt string, part long").join(entries, "part")
+    placed = keys.mapInArrow(place, "surt string, part long")
 
     def reach(batches):
-        for batch in batches:
-            rows = batch.to_pylist()
-            out = []
-            for r in rows:
-                firsts = [e["first_key"] for e in r["entries"]]
-                i = max(bisect.bisect_left(firsts, r["surt"]) - 1, 0)
-                while i < len(firsts) and firsts[i] <= r["surt"]:
-                    if r["entries"][i]["last_key"] >= r["surt"]:
-                        out.append((r["asked"], r["surt"], r["part"], r["entries"][i]["block"]))
-                    i += 1
-            columns = list(zip(*out)) or [[]] * 4
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+        for part, entries, found in met(batches, ["part"]):
+            spans = [(r["first_key"], r["last_key"], r["block"]) for r in entries]
+            out = led_to(found, spans, ["surt", "block"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)],
-                names=["asked", "surt", "part", "block"],
+                [*out.columns, pa.array([part[0]] * out.num_rows, pa.int64())],
+                names=["surt", "block", "part"],
             )
 
-    wanted = placed.select("asked", "surt", "part", "entries").mapInArrow(
-        reach, "asked string, surt string, part long, block long"
+    entries = directory.select("part", "block", "first_key", "last_key")
+    wanted = meeting(entries, placed, ["part"], ["first_key", "block"]).mapInArrow(
+        reach, "surt string, block long, part long"
     )
 
     def search(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                lines = unpack(r["body"])
-                keys = [x[0] for x in lines]
-                low, high = bisect.bisect_left(keys, r["surt"]), bisect.bisect_right(keys, r["surt"])
-                yield capture_rows([x for x in lines[low:high] if x[2] == r["asked"]])
+        for _, held, found in met(batches, ["part", "block"]):
+            lines = [line for r in held for line in unpack(r["body"])]
+            first = [x[0] for x in lines]
+            spans = [(bisect.bisect_left(first, k), bisect.bisect_right(first, k)) for k in found]
+            yield capture_rows([line for low, high in spans for line in lines[low:high]])
 
     blocks = spark.read.parquet(f"{index}/blocks").select("part", "block", "body")
-    return (
-        wanted.join(blocks, ["part", "block"])
-        .select("asked", "surt", "body")
-        .mapInArrow(search, CAPTURE)
+    found = meeting(blocks, wanted, ["part", "block"], []).mapInArrow(search, CAPTURE)
+    told = asked.select(F.col("url").alias("asked"))
+    return found.join(told, F.col("url").eqNullSafe(F.col("asked")), "left_semi")
+
+
+def led_to(keys: list[str], spans: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """Keys with the last member of each of the sorted spans ``first, last, ...`` they lie in."""
+    lows = [x[0] for x in spans]
+    out = []
+    for key in keys:
+        i = max(bisect.bisect_left(lows, key) - 1, 0)
+        while i < len(lows) and lows[i] <= key:
+            if spans[i][1] >= key:
+                out.append((key, spans[i][2]))
+            i += 1
+    columns = list(zip(*out)) or [[], []]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64())], names=names
     )
 
 
+def meeting(held: DataFrame, asked: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Rows of the index and keys asked for, those of a place after one another, the index's first.
+    No row of the index is repeated for the keys that meet it."""
+    rows = held.unionByName(asked.select(*by, "surt"), allowMissingColumns=True)
+    return rows.repartition(*by).sortWithinPartitions(*by, F.col("surt").asc_nulls_first(), *order)
+
+
+def met(batches, by: list[str]) -> Iterator[tuple[tuple, list[dict], list[str]]]:
+    """Places of a `meeting` with their rows of the index and some of the keys asked for there."""
+    place, held = None, []
+    for batch in batches:
+        found = []
+        for r in batch.to_pylist():
+            here = tuple(r[c] for c in by)
+            if here != place:
+                if found:
+                    yield place, held, found
+                place, held, found = here, [], []
+            if r["surt"] is None:
+                held.append(r)
+            else:
+                found.append(r["surt"])
+        if found:
+            yield place, held, found
+
+
 def read_captures(captures: DataFrame) -> DataFrame:
     """Records of the captures, read by byte range, in ``RECORD``'s columns.
 
@@ -421,15 +449,21 @@ def read_captures(captures: DataFrame) -> DataFrame:
 
 
 def archive_and_read(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write archives and their index into the shared folder, then read every record back.
+    """Write archives and their index into the shared folder, then read every record back: the
+    index is searched for the URLs of the pages, and must lead to as many captures as were written.
 
     One row per page, ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
     An empty table gives no rows.
     """
     spark = pages.sparkSession
     folder, index = new_path(spark, "warc"), new_path(spark, "cdx")
-    index_captures(write_archives(pages, folder, min_bytes), index)
-    records = read_captures(all_captures(spark, index))
-    return records.select(
+    captures = write_archives(pages, folder, min_bytes)
+    index_captures(captures, index)
+    # The header of a record holds no signs of control, and neither do the index's URLs.
+    url = F.regexp_replace("url", CONTROL.pattern, " ").alias("url")
+    found = stage(lookup(spark, index, pages.select(url)), "found-captures")
+    if found.count() != captures.count():
+        raise ValueError(f"the index under {index} does not lead to all captures written")
+    return read_captures(found).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )

@@ -1,5 +1,6 @@
 """The training-data operators against brute force, SQL, and awkward tables."""
 
+import base64
 import hashlib
 import math
 import os
@@ -526,6 +527,35 @@ def test_captures_are_found_by_url(spark, monkeypatch):
     assert (everything[15].record_type, everything[15].refers_to) == ("revisit", 4)
 
 
+def test_archives_are_read_back_through_their_index(spark, monkeypatch):
+    """One URL on many blocks, URLs that share a key, odd ones, a null, repeated rows, columns of
+    clashing names."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 4)
+    prepare(spark)
+    hot = [(i, "http://www.A.org/x", f"{i % 7}", "p", 0) for i in range(60)]
+    alike = [(100 + i, f"https://b.org/y#{i}", "same", None, 1) for i in range(20)]
+    odd = [(200, "\\N", "a", "", 2), (201, None, "b", None, 2), (202, "http://b.org/t\tab\n", "c", None, 2),
+           (203, "", None, None, 2), (204, "http://[bad", "d", None, 2), (None, "c:\\d", "e", None, 2)]
+    rows = hot + alike + odd + odd
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, surt string, part int")
+    got = Counter(
+        (r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+        for r in warc.archive_and_read(pages).collect()
+    )
+    first = {}
+    for i, _, html, *_ in rows:
+        if i is not None:
+            first[html or ""] = min(i, first.get(html or "", i))
+
+    def expected(i, html):
+        body = (html or "").encode()
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        again = html not in (None, "e") and first[html or ""] != i
+        return i, len(body), digest, "revisit" if again else "response", first[html or ""] if again else None
+
+    assert got == Counter(expected(i, html) for i, _, html, *_ in rows)
+
+
 def test_pages_without_an_id_revisit_those_that_have_one(spark):
     prepare(spark)
     rows = [(None, "u", "same"), (4, "v", "same"), (2, "w", "same"), (None, "x", "own"), (None, "x", "own"), (7, "y", None), (7, "y", None)]
