@@ -7,13 +7,16 @@ by row. A frequent token is a class of its own; others share the classes their l
 Inside a shared class, tokens follow their smoothed counts, so that the probabilities of all
 tokens, with one share for unknown ones, add up to one.
 
-Counts, classes and training cover all texts to learn from. Training goes in rounds: every task
-follows the gradients of its own part from the same start, and the mean of the models, weighted by
-tokens, starts the next round. The noise of a batch is drawn once and told from all its tokens.
+Counts, classes and training cover all texts to learn from. Training goes in rounds: texts are dealt
+to shards by a hash, each shard follows its own gradients from the same start in the hash's order, and
+the mean of the models, weighted by tokens, starts the next round. There are as many shards as the
+tokens ask for, so the model depends on the texts alone and not on how rows are spread. The noise of a
+batch is drawn once and told from all its tokens.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +37,11 @@ CLASSES = OWN_CLASSES + SHARED_CLASSES
 #: The counts of others are joined.
 DICTIONARY_SHARE = 1_000_000
 
-CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 4, 32, 48, 512, 0.2, 11
+CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 4, 32, 64, 256, 0.15, 11
+
+#: Tokens of a round that one model learns from in turn; more make further shards. Tokens of a
+#: shard that are shuffled among one another, and that a longer text is cut to in training.
+SHARD_TOKENS, BLOCK_TOKENS = 1 << 20, 1 << 16
 
 #: The token that ends every text; no hash of a word is made to equal it.
 END = 1
@@ -312,53 +319,80 @@ def encode(docs: DataFrame, vocab: Vocabulary, keep: list[str]) -> DataFrame:
 # --- training and scoring -------------------------------------------------------------------
 
 
-def train_round(encoded: DataFrame, model: Bilinear, shares: np.ndarray) -> Bilinear:
-    """One pass over the rows given, in every task from the same model; the weighted mean."""
+def blocks_of(bodies: Iterator[bytes]) -> Iterator[list[bytes]]:
+    """Texts in lists of about ``BLOCK_TOKENS`` tokens; a longer text is cut."""
+    held, n = [], 0
+    for body in bodies:
+        for at in range(0, len(body), BLOCK_TOKENS):
+            held.append(body[at : at + BLOCK_TOKENS])
+            n += len(held[-1])
+            if n >= BLOCK_TOKENS:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
+
+
+def train_round(encoded: DataFrame, model: Bilinear, shares: np.ndarray, shards: int) -> Bilinear:
+    """One pass over the rows given, in every shard from the same model; the weighted mean."""
     shared = Shared(encoded.sparkSession, (model, shares))
+    schema = "shard long, total binary, seen long"
 
     def learn(batches):
         model, shares = shared.value
-        learner, seen = None, 0
-        for batch in batches:
-            bodies = [b for b in batch.column(0).to_pylist() if b]
-            if not bodies:
-                continue
-            if learner is None:
-                learner = Learner(model.unpacked(model.packed()), shares, SEED)
-            classes = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64)
-            first = np.concatenate(([0], np.cumsum([len(b) for b in bodies])))
+        learner, seen, shard = Learner(model, shares, SEED), 0, None
+
+        def bodies():
+            nonlocal shard
+            for batch in batches:
+                for shard, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    yield body
+
+        for block in blocks_of(bodies()):
+            classes = np.frombuffer(b"".join(block), np.uint8).astype(np.int64)
+            first = np.concatenate(([0], np.cumsum([len(b) for b in block])))
             contexts = contexts_of(classes, first)
             order = learner.rng.permutation(len(classes))
             for at in range(0, len(order), BATCH):
                 picked = order[at : at + BATCH]
                 learner.step(contexts[picked], classes[picked])
             seen += len(classes)
-        if learner:
-            yield mean_row(learner.model.packed() * seen, seen)
+        if seen:
+            yield mean_row(shard, learner.model.packed() * seen, seen)
 
-    def mean_row(total, seen):
+    def mean_row(shard, total, seen):
         return pa.RecordBatch.from_arrays(
-            [pa.array([total.tobytes()], pa.binary()), pa.array([seen], pa.int64())],
-            names=["total", "seen"],
+            [pa.array([shard], pa.int64()), pa.array([total.tobytes()], pa.binary()), pa.array([seen], pa.int64())],
+            names=["shard", "total", "seen"],
         )
 
     def add(batches):
-        total, seen = None, 0
+        """Sums of the models of ``FAN_IN`` shards that follow one another, in their order."""
+        group, total, seen = None, None, 0
         for batch in batches:
-            for packed, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(packed, np.float64)
-                total = part.copy() if total is None else total + part
+            for shard, packed, n in zip(*[c.to_pylist() for c in batch.columns]):
+                if group != shard // FAN_IN:
+                    if seen:
+                        yield mean_row(group, total, seen)
+                    group, total, seen = shard // FAN_IN, 0, 0
+                total = total + np.frombuffer(packed, np.float64)
                 seen += n
         if seen:
-            yield mean_row(total, seen)
-
-    schema = "total binary, seen long"
-    models = stage(encoded.select("classes").mapInArrow(learn, schema), "models")
-    n = models.count()
-    while n > FAN_IN:
-        n = -(-n // FAN_IN)
-        models = stage(models.repartition(n).mapInArrow(add, schema), "models")
-    parts = models.collect()
+            yield mean_row(group, total, seen)
+
+    key = F.xxhash64("doc_id", "classes")
+    dealt = encoded.select(F.pmod(key, F.lit(shards)).alias("shard"), "classes", key.alias("key"))
+    # A partition a shard, its rows in one order.
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int"))
+    models = stage(
+        dealt.sortWithinPartitions("key", "classes").select("shard", "classes").mapInArrow(learn, schema),
+        "models",
+    )
+    while shards > FAN_IN:
+        shards = -(-shards // FAN_IN)
+        near = models.repartition(F.floor(F.col("shard") / FAN_IN)).sortWithinPartitions("shard")
+        models = stage(near.mapInArrow(add, schema), "models")
+    parts = models.orderBy("shard").collect()
     seen = sum(r["seen"] for r in parts)
     if not seen:
         return model
@@ -410,8 +444,9 @@ def score_texts(docs: DataFrame, learn_from: Column, rounds: list[Column]) -> Da
     vocab = vocabulary(counts)
     encoded = encode(marked, vocab, ["row", "doc_id", "held_out"])
     model = Bilinear.start(vocab.shares)
+    shards = max(1, -(-vocab.total // (SHARD_TOKENS * max(len(rounds), 1))))
     for chosen in rounds:
-        model = train_round(encoded.where(~F.col("held_out") & chosen), model, vocab.shares)
+        model = train_round(encoded.where(~F.col("held_out") & chosen), model, vocab.shares, shards)
 
     # Tokens no task knows are rare by definition, so no key of this join is hot.
     asked = encoded.select("row", F.explode("rare").alias("token"))

@@ -158,6 +158,26 @@ def test_language_model_counts_and_beats_the_base(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_language_model_is_the_same_however_rows_lie(spark, monkeypatch):
+    """Many shards, averaged in a tree, and texts cut in training."""
+    monkeypatch.setattr(language_model, "FAN_IN", 2)
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", 300)
+    docs = prepare(spark).read.parquet(f"{DATA}/documents.parquet")
+    for size in (1 << 20, 2000):
+        monkeypatch.setattr(language_model, "SHARD_TOKENS", size)
+        found = []
+        for parts in (1, 8, 64):
+            got = language_model.score_texts(
+                docs.repartition(parts), remainder(5) != 1, [remainder(5) == r for r in (0, 2, 3, 4)]
+            ).collect()
+            found.append({r.doc_id: r.score for r in got})
+            held = [r for r in got if r.held_out]
+            if size > 2000:
+                assert sum(r.score for r in held) > sum(r.base_score for r in held)
+        for other in found[1:]:
+            assert all(math.isclose(v, found[0][k], rel_tol=1e-6) for k, v in other.items())
+
+
 def test_language_model_is_normalised():
     rng = np.random.default_rng(0)
     shares = rng.random(language_model.CLASSES)
