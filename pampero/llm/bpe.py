@@ -6,9 +6,10 @@ grows until it ends in tokens both sides have as well.
 
 Two facts make the result exact. Where a letter or digit is followed by a sign that is neither,
 the pattern that splits text before merging always splits, whatever surrounds the place; tokens on
-both sides of such a place do not depend on each other. Within an unsplit run of letters, a
-sequence of tokens is the encoding of its text if each two neighbours are the encoding of theirs;
-so a window whose first and last tokens are the neighbours' own fits in.
+both sides of such a place do not depend on each other. Within an unsplit run of letters, of digits
+or of signs, a sequence of tokens is the encoding of its text if each two neighbours are the encoding
+of theirs; so a window whose first and last tokens are the neighbours' own fits in. A special token is
+cut out of a text before either, so no window ends inside one.
 """
 
 from __future__ import annotations
@@ -82,15 +83,28 @@ def in_word(c: str) -> bool:
     return unicodedata.ucd_3_2_0.category(c)[0] in "LN"
 
 
+@lru_cache(maxsize=1 << 16)
+def kind_of(c: str) -> str:
+    """``L`` for letters, ``N`` for digits, ``S`` for other visible signs, and nothing for the rest."""
+    kind = unicodedata.ucd_3_2_0.category(c)[0]
+    return kind if kind in "LN" else "S" if kind in "PS" else ""
+
+
 def splits(text: str, at: int) -> bool:
     """Whether the text is split at a place, whatever lies beyond these two characters."""
     a, b = text[at - 1], text[at]
     return in_word(a) and b in " \n\t,.;:!?()\"-" and not in_word(b)
 
 
-def split_from(text: str, at: int, end: int) -> int | None:
+def inside(text: str, at: int, special: list[str]) -> bool:
+    """Whether a place lies inside a special token."""
+    return any(s in text[max(at - len(s) + 1, 0) : at + len(s) - 1] for s in special)
+
+
+def split_from(text: str, at: int, end: int, special: list[str]) -> int | None:
     step = 1 if end > at else -1
-    return next((p for p in range(at, end, step) if splits(text, p)), None)
+    places = (p for p in range(at, end, step) if splits(text, p))
+    return next((p for p in places if not inside(text, p, special)), None)
 
 
 class Piece:
@@ -115,7 +129,7 @@ def join(left: Piece, right: Piece, tokenizer: Tokenizer) -> Piece:
     while True:
         reach_left, reach_right = middle - w, middle + w
         whole = reach_left <= 1 and reach_right >= len(text) - 1
-        if whole or any(s in text for s in tokenizer.special):
+        if whole:
             return Piece(text, tokenizer.encode(text), tokenizer)
         found = _within_splits(left, right, text, middle, w, tokenizer)
         if found is None:
@@ -127,8 +141,12 @@ def join(left: Piece, right: Piece, tokenizer: Tokenizer) -> Piece:
 
 def _within_splits(left, right, text, middle, w, tokenizer):
     """Window between two places where the text is split in any case."""
-    p = split_from(text, max(middle - w, 1), max(middle - 2 * w, 0)) if middle > w else None
-    q = split_from(text, middle + w, min(middle + 2 * w, len(text))) if middle + w < len(text) else None
+    end, special = len(text), tokenizer.special
+    p = q = None
+    if middle > w:
+        p = split_from(text, max(middle - w, 1), max(middle - 2 * w, 0), special)
+    if middle + w < end:
+        q = split_from(text, middle + w, min(middle + 2 * w, end), special)
     p = 0 if p is None and middle <= 2 * w else p
     q = len(text) if q is None and middle + 2 * w >= len(text) else q
     if p is None or q is None:
@@ -141,9 +159,14 @@ def _within_splits(left, right, text, middle, w, tokenizer):
 
 
 def _within_run(left, right, text, middle, w, tokenizer):
-    """Window inside one run of letters, that agrees with its first and last tokens."""
+    """Window inside one run of letters, digits or signs, that agrees with its first and last tokens."""
     low, high = max(middle - w, 0), min(middle + w, len(text))
-    if not all(unicodedata.ucd_3_2_0.category(c)[0] == "L" for c in text[low:high]):
+    kind = kind_of(text[middle])
+    if not kind or not all(kind_of(c) == kind for c in text[low:high]):
+        return None
+    reach = max(map(len, tokenizer.special), default=0)
+    around = text[max(low - reach, 0) : high + reach]
+    if any(s in around for s in tokenizer.special):
         return None
     edge = len(text[: max(low, 0)].encode())
     head = int(np.searchsorted(left.ends, edge)) + 1 if low else 0

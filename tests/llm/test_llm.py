@@ -198,7 +198,7 @@ def test_tree_concatenation_equals_the_library(monkeypatch):
     file = public_tokenizers.path("byte_bpe_50k.json")
     library, own = Tokenizer.from_file(file), bpe.Tokenizer(file)
     rng = random.Random(1)
-    kinds = ["ab", "abcdefghij", "the of and ing ", "éèüß字漢", "a1 '.\n", "it's 've ", " \n\t a", "😀 x", "0123, "]
+    kinds = ["ab", "abcdefghij", "the of and ing ", "éèüß字漢", "a1 '.\n", "it's 've ", " \n\t a", "😀 x", "0123, ", "0123456789", "=-'~.", "-'s ", "<|endoftext|>"]
     for _ in range(300):
         parts = ["".join(rng.choices(rng.choice(kinds), k=rng.randrange(1, 900))) for _ in range(2)]
         text = rng.choice(["", "<|endoftext|>"]).join(parts)
@@ -210,6 +210,45 @@ def test_tree_concatenation_equals_the_library(monkeypatch):
         assert own.decode(ids) == text
 
 
+@pytest.mark.parametrize("unit", ["abcdefghij", "0123456789", "=-_*#'~.", "<|endoftext|>word 12 -- "])
+def test_joining_encodes_little_anew(unit, monkeypatch):
+    """Work at the joins of an unsplit text does not grow with its length."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(file), bpe.Tokenizer(file)
+    rng = random.Random(5)
+    text = unit * 3000 if "<" in unit else "".join(rng.choices(unit, k=60_000))
+    leaves = [text[i : i + 4001] for i in range(0, len(text), 4001)]
+    pieces = [bpe.Piece(x, own.encode(x), own) for x in leaves]
+    anew, encode = [], own.encode
+    monkeypatch.setattr(own, "encode", lambda t: anew.append(len(t)) or encode(t))
+    ids = bpe.tree(pieces, own).ids
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(anew) < len(leaves) * 3000
+
+
+def test_bpe_query_equals_the_library(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.no_truncation()
+    library.no_padding()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in QUERIES["op2_bpe"](spark, DATA).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == (
+            len(ids),
+            hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+            hashlib.sha256(decoded.encode()).hexdigest(),
+        )
+
+
 # --- decontamination ---------------------------------------------------------------------------
 
 
