@@ -86,16 +86,16 @@ class Bilinear:
         return Bilinear(*out)
 
     def predictions(self, contexts: np.ndarray) -> np.ndarray:
-        total = np.zeros((len(contexts), WIDTH), np.float32)
-        for i in range(CONTEXT):
-            total += self.inputs[contexts[:, i]] * self.distance[i]
+        total = (self.inputs * self.distance[0]).take(contexts[:, 0], axis=0)
+        for i in range(1, CONTEXT):
+            total += (self.inputs * self.distance[i]).take(contexts[:, i], axis=0)
         return total
 
     def log10(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Normalised log-probabilities of the target classes."""
         out = np.empty(len(targets))
-        for at in range(0, len(targets), 2048):
-            part = slice(at, at + 2048)
+        for at in range(0, len(targets), 512):
+            part = slice(at, at + 512)
             scores = self.predictions(contexts[part]) @ self.outputs.T + self.bias
             own = scores[np.arange(len(scores)), targets[part]].astype(np.float64)
             highest = scores.max(axis=1, keepdims=True)
@@ -142,11 +142,13 @@ class Learner:
         to_q = push @ of_noise + pull[:, None] * m.outputs[targets]
         outputs = rows_added(np.concatenate((targets, noise)), np.concatenate((pull[:, None] * q, push.T @ q)), CLASSES)
         bias = np.bincount(targets, pull, CLASSES) + np.bincount(noise, push.sum(axis=0), CLASSES)
-        inputs = np.zeros_like(m.inputs)
-        distance = np.empty_like(m.distance)
-        for i in range(CONTEXT):
-            inputs += rows_added(contexts[:, i], to_q * m.distance[i], CLASSES + 1)
-            distance[i] = (to_q * m.inputs[contexts[:, i]]).sum(axis=0)
+        # One sum of ``to_q`` by place and class serves the vectors and their weights.
+        shifted = contexts + np.arange(CONTEXT) * (CLASSES + 1)
+        by_place = rows_added(
+            shifted.T.ravel(), np.tile(to_q, (CONTEXT, 1)), CONTEXT * (CLASSES + 1)
+        ).reshape(CONTEXT, CLASSES + 1, WIDTH)
+        inputs = np.einsum("pcw,pw->cw", by_place, m.distance)
+        distance = np.einsum("pcw,cw->pw", by_place, m.inputs)
         for array, square, gradient in zip(
             m.arrays(), self.squares, (inputs, outputs, distance, bias.astype(np.float32))
         ):
@@ -155,13 +157,10 @@ class Learner:
 
 
 def rows_added(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Rows added up by index, by one sort."""
-    order = np.argsort(index, kind="stable")
-    sorted_index = index[order]
-    starts = np.flatnonzero(np.append(True, sorted_index[1:] != sorted_index[:-1]))
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[sorted_index[starts]] = np.add.reduceat(rows[order], starts, axis=0)
-    return out
+    """Rows added up by index."""
+    width = rows.shape[1]
+    cells = (index[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cells, rows.ravel(), n * width).astype(np.float32).reshape(n, width)
 
 
 # --- tokens ---------------------------------------------------------------------------------
