@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pampero.llm.common import (
@@ -56,6 +56,9 @@ SIGNATURE_BITS = 1024
 #: Times a block's sets are compared with one set each, before what is left is compared in full.
 ROUNDS = 5
 
+#: What a list holds of a set.
+FIELDS = ("node", "n", "place", "shared")
+
 #: Cells of the filter that keeps texts nobody asks for out of a join.
 FILTER_BITS = 24
 
@@ -183,7 +186,11 @@ def prefix_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def list_entries(reps: DataFrame, members: int) -> DataFrame:
-    """``member, node, n, place`` of prefix members that more than one set has."""
+    """``member, node, n, place, shared`` of prefix members that more than one set has.
+
+    ``place`` counts the members before it in its set's order, ``shared`` those of them that are
+    in a list as well.
+    """
     ranges = 16
     while ranges * LIST_MEMBERS < members:
         ranges *= 2
@@ -230,10 +237,9 @@ def list_entries(reps: DataFrame, members: int) -> DataFrame:
     dealt = reps.select("node", "n", "prefix").mapInArrow(
         deal, "part long, node long, n long, tokens binary, places binary"
     )
-    return stage(
-        dealt.groupBy("part").applyInPandas(meet, "member long, node long, n long, place long"),
-        "set-lists",
-    )
+    met = dealt.groupBy("part").applyInPandas(meet, "member long, node long, n long, place long")
+    before = F.row_number().over(Window.partitionBy("node").orderBy("place")) - 1
+    return stage(met.withColumn("shared", before), "set-lists")
 
 
 def needed(na: Column, nb: Column, percent: int) -> Column:
@@ -246,10 +252,14 @@ def alike(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
 
 
 def room(percent: int) -> Column:
-    """Whether sizes and places of two list entries leave room for the overlap needed."""
+    """Whether sizes and places of two list entries leave room for the overlap needed.
+
+    What two sets have in common before a member they share is in the prefixes of both, so in
+    lists: members that only one set has leave no room there.
+    """
     na, nb = F.col("x.n"), F.col("y.n")
     behind = F.least(na - F.col("x.place"), nb - F.col("y.place"))
-    before = F.least(F.col("x.place"), F.col("y.place"))
+    before = F.least(F.col("x.shared"), F.col("y.shared"))
     return (
         (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
         & (before + behind >= needed(na, nb, percent))
@@ -363,18 +373,19 @@ def jaccard_links(
     total = reps.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     entries = list_entries(reps, total // 8)
 
-    # Each set with the first of its block: sizes within a tenth of each other.
+    # Each set with one of its block, where sizes are within a tenth of each other: that with the
+    # fewest members of its own, as the text that copies were made from.
     block = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.1))).alias("block")
     blocks = entries.select("*", block)
     heads = blocks.groupBy("member", "block").agg(
-        F.min(F.struct("node", "n", "place")).alias("head")
+        F.min_by(F.struct(*FIELDS), F.struct(F.col("place") - F.col("shared"), "node")).alias("head")
     )
     heads = heads.select("member", "block", "head.*").alias("x")
     first_pairs = (
         blocks.alias("y")
         .join(heads, ["member", "block"])
-        .where((F.col("y.node") > F.col("x.node")) & room(percent))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        .where((F.col("y.node") != F.col("x.node")) & room(percent))
+        .select(*pair())
         .distinct()
     )
     links, tried, roots = None, None, None
@@ -396,8 +407,12 @@ def jaccard_links(
     first = tried
 
     # The similar set each set was matched with, and how far apart the two are.
-    nearest = links.groupBy(F.col("b").alias("node")).agg(
-        F.max_by(F.struct("a", "na", "nb", "overlap"), "overlap").alias("to")
+    turned = links.select(
+        F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"),
+        F.col("na").alias("nb"), "overlap",
+    )
+    nearest = links.unionByName(turned).groupBy(F.col("b").alias("node")).agg(
+        F.max_by(F.struct("a", "na", "nb", "overlap"), F.struct("overlap", "a")).alias("to")
     )
     mixed = (
         known.groupBy("member")
@@ -410,9 +425,7 @@ def jaccard_links(
         open_entries.alias("x")
         .join(open_entries.alias("y"), "member")
         .where((F.col("x.root") < F.col("y.root")) & room(percent))
-        .select(
-            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
-        )
+        .select(*pair())
         .distinct()
     )
     # A pair is seen once per component and order of a list; those counted before are settled.
@@ -456,25 +469,30 @@ def jaccard_links(
     return stage(member_rows, "set-members"), stage(found, "set-links")
 
 
+def pair() -> list[Column]:
+    """Nodes of two list entries, the smaller as ``a``."""
+    nodes = F.col("x.node"), F.col("y.node")
+    return [F.least(*nodes).alias("a"), F.greatest(*nodes).alias("b")]
+
+
 def other_heads(known: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each set in a block with one set of the block's largest component, another
     in every turn, unless it belongs to that component already."""
-    entry = F.struct("node", "n", "place", "root")
     heads = (
         known.groupBy("member", "block", "root")
         .agg(
             F.count(F.lit(1)).alias("size"),
-            F.min_by(entry, F.xxhash64("node", F.lit(turn))).alias("entry"),
+            F.min_by(F.struct(*FIELDS), F.xxhash64("node", F.lit(turn))).alias("entry"),
         )
         .groupBy("member", "block")
-        .agg(F.max_by("entry", F.struct("size", "root")).alias("head"))
-        .select("member", "block", "head.*")
+        .agg(F.max_by(F.struct("entry", "root"), F.struct("size", "root")).alias("head"))
+        .select("member", "block", "head.entry.*", "head.root")
     )
     return (
         known.alias("y")
         .join(heads.alias("x"), ["member", "block"])
         .where((F.col("x.root") != F.col("y.root")) & room(percent))
-        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .select(*pair())
         .distinct()
     )
 
