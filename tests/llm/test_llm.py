@@ -479,6 +479,33 @@ def test_language_models_add_up_however_much_is_cut(spark, monkeypatch):
                 assert np.isclose((10 ** model.log10(asked)[:, i]).sum(), 1, atol=1e-5)
 
 
+def test_grams_beyond_the_model_count_too(spark, monkeypatch):
+    """However few contexts tasks hold, every text is judged by all that was learned."""
+    rng = np.random.default_rng(5)
+    rows = [
+        (i, None if i % 9 == 8 else " ".join("".join(rng.choice(list("abcdeé"[i % 3 :]), 4)) for _ in range(6)), "xyz"[i % 3])
+        for i in range(60)
+    ]
+    rows += rows[:4]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def judged(bound):
+        monkeypatch.setattr(language_id, "MODEL_GRAMS", bound)
+        model = language_id.train(docs.where("doc_id % 4 <> 1").select("lang", "text"))
+        got = language_id.score_texts(docs, model, ["doc_id"]).orderBy("doc_id").collect()
+        return model, got
+
+    whole, expected = judged(400_000)
+    assert whole.rest is None and len(expected) == len(rows)
+    for bound in (200, 40, 1):
+        model, got = judged(bound)
+        assert model.rest is not None
+        assert all(len(x.shares.value) <= bound for x in model.levels)
+        assert [(r.doc_id, r.letters, r.best) for r in got] == [(r.doc_id, r.letters, r.best) for r in expected]
+        for name in ("margin", "entropy"):
+            assert np.allclose([r[name] for r in got], [r[name] for r in expected], atol=1e-5)
+
+
 def test_one_language_alone_is_kneser_ney(spark):
     texts = ["the cat sat on the mat", "the hat", "that is it"]
     alphabet = language_id.Alphabet(language_id.symbol_table())
