@@ -17,6 +17,12 @@ def lazy(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def locations_only(df: DataFrame, name: str) -> DataFrame:
+    """Stores the current locations alone and leaves days as a plan: the size of what days are
+    joined with is known then before they are shuffled for it."""
+    return stage(df, name) if name == "current_locations" else df
+
+
 Source = DataFrame | Callable[[], DataFrame]
 
 
@@ -68,7 +74,7 @@ class Models:
     @cached_property
     def latest_day(self) -> DataFrame:
         # Both relations have the same newest day: a stored one is the cheaper to ask.
-        return weather.latest_day(self.stg_weather if self.keep is lazy else self.best_weather)
+        return weather.latest_day(self.stg_weather if self.keep in (lazy, locations_only) else self.best_weather)
 
     @cached_property
     def weather_quality(self) -> DataFrame:
@@ -76,7 +82,13 @@ class Models:
 
     @cached_property
     def weather_only(self) -> DataFrame:
-        return dimensions.weather_only_locations(self.best_weather, self.current_locations)
+        best = self.best_weather
+        if self.keep in (lazy, locations_only):
+            # No days are stored to start from: only those of unlisted locations are ranked.
+            listed = self.current_locations.select("location_id")
+            unlisted = self.stg_weather.join(listed, "location_id", "left_anti")
+            best = weather.best_daily_rows(unlisted)
+        return dimensions.weather_only_locations(best, self.current_locations)
 
     @cached_property
     def dim_location(self) -> DataFrame:

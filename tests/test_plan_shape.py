@@ -4,9 +4,10 @@ import re
 
 import pytest
 
+from pampero import session
 from pampero.operators.incremental import new_rows
 from pampero.plans import marts, weather
-from pampero.plans.models import Models, lazy
+from pampero.plans.models import Models, lazy, locations_only
 from pampero.sources import adapter
 from pampero.sources.raw import read_raw
 from pampero.sources.schemas import RAW_WEATHER
@@ -44,6 +45,35 @@ def test_best_row_is_limited_before_the_shuffle(models):
     assert final < exchange < partial and "Partial" in text[partial:].splitlines()[0]
 
 
+def test_splits_are_small_enough_to_sort_in_memory(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, kept in (("128m", str(session.SPLIT_BYTES)), ("1m", "1m")):
+            spark.conf.set(key, given)
+            session.prepare(spark)
+            assert spark.conf.get(key) == kept
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_unlisted_locations_are_told_before_days_are_ranked(models):
+    # Plans are printed from the last step to the first.
+    text = physical(models.weather_only)
+    by_day = re.search(r"WindowGroupLimit \[location_id#\d+, date#\d+\]", text).start()
+    assert text.rindex("LeftAnti") > by_day
+
+
+def test_days_are_not_shuffled_to_find_unlisted_locations(spark):
+    sources = lambda: adapter.raw_weather(spark, DATA, "flat"), lambda: adapter.raw_locations(spark, DATA)
+    text = physical(Models(*sources, keep=locations_only).weather_only)
+    by_day = re.search(r"WindowGroupLimit \[location_id#\d+, date#\d+\]", text).start()
+    below = text[by_day:]
+    assert below.count("Exchange hashpartitioning(") == 1
+    assert below.index("LeftAnti") > below.index("Exchange hashpartitioning(")
+    assert "BroadcastHashJoin" in below
+
+
 def read_columns(df) -> str:
     return re.search(r"ReadSchema: struct<(.*)>", physical(df)).group(1)
 

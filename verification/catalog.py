@@ -17,7 +17,7 @@ from pampero.operators import checks, incremental, monthly
 from pampero.operators.payload import raw_member, with_payload
 from pampero.operators.ranking import best_row, newest
 from pampero.plans import dimensions, legacy, marts, staging, suite, weather
-from pampero.plans.models import Models, lazy
+from pampero.plans.models import Models, lazy, locations_only
 from pampero.session import prepare
 from pampero.sinks import bucketed, catalogue
 from pampero.sinks import export as exporting
@@ -839,7 +839,7 @@ def _(spark, d):
     database, out = f"documented_{uuid.uuid4().hex}", new_path(spark, "documented")
     spark.sql(f"CREATE DATABASE {database}")
     relations = {
-        "dim_location": _plan(spark, d).dim_location,
+        "dim_location": _models(spark, d, keep=locations_only).dim_location,
         "legacy_daily": legacy.daily(adapter.observations(spark, d)),
     }
     rows = []
