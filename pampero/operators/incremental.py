@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pampero.operators.monthly import MONTH, read_state, read_table, write_months
@@ -64,9 +64,31 @@ def merge_newest(
     return newest_versions(target.unionByName(batch), keys, version)
 
 
-def newest_versions(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    tiebreak = sorted(c for c in df.columns if c not in (*keys, *version))
-    return best_row(df, keys, newest(*version), tiebreak)
+def newest_versions(
+    df: DataFrame, keys: list[str], version: list[str], lie_by: list[str] | None = None
+) -> DataFrame:
+    """Newest version of each key. Rows that already lie by columns their keys determine,
+    ``lie_by``, are not shuffled again."""
+    tiebreak = sorted(c for c in df.columns if c not in (*keys, *version, *(lie_by or [])))
+    within = [*(lie_by or []), *[k for k in keys if k not in (lie_by or [])]]
+    return best_row(df, within, newest(*version), tiebreak)
+
+
+#: Whether a row to be written comes from the batch.
+_COMES = "_comes"
+
+
+def unreplaced_rows(placed: DataFrame, keys: list[str], lie_by: list[str]) -> DataFrame:
+    """`merge` of rows that already lie by columns their keys determine: those of the batch, and
+    those of the target whose key the batch has not. Keys with a null in them replace nothing."""
+    comes = F.col(_COMES)
+    same_key = Window.partitionBy(*lie_by, *[k for k in keys if k not in lie_by])
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    replaced = F.max(comes).over(same_key) & named
+    seen = placed.withColumn("_replaced", replaced)
+    return seen.where(comes | ~F.col("_replaced")).drop("_replaced", _COMES)
 
 
 def committed_mark(spark: SparkSession, table: str, column: str) -> datetime | None:
@@ -122,17 +144,39 @@ def upsert(
     """
     spark = batch.sparkSession
     state = read_state(spark, path)
+    choose = None
     with staged(batch, "batch") as batch:
         # One value per month of history touched, twelve a year at most.
         months = [r[0] for r in batch.select(MONTH).distinct().collect()]
         target = read_table(spark, path, months)
         places = batch.select(MONTH, *cluster_by)
-        if target is None:
+        if target is not None:
+            places = places.unionByName(target.select(MONTH, *cluster_by))
+        if set(cluster_by) <= set(keys):
+            # Rows of one key meet where files are written: they are shuffled once.
+            merged, choose = _to_choose(target, batch, keys, version)
+        elif target is None:
             merged = newest_versions(batch, keys, version) if version else batch
         else:
-            places = places.unionByName(target.select(MONTH, *cluster_by))
             merged = (
                 merge_newest(target, batch, keys, version) if version else merge(target, batch, keys)
             )
         stamp = None if mark is None else mark.isoformat(" ")
-        write_months(merged, path, cluster_by, places, stamp, before=state)
+        write_months(merged, path, cluster_by, places, stamp, before=state, choose=choose)
+
+
+def _to_choose(
+    target: DataFrame | None, batch: DataFrame, keys: list[str], version: list[str] | None
+) -> tuple[DataFrame, Callable[[DataFrame, list[str]], DataFrame] | None]:
+    """Rows of both, and how those to keep are told where rows of one key meet."""
+    if target is not None:
+        assert_same_columns(target, batch)
+    if version:
+        both = batch if target is None else target.unionByName(batch)
+        return both, lambda rows, lie_by: newest_versions(rows, keys, version, lie_by)
+    if target is None:
+        return batch, None
+    both = target.withColumn(_COMES, F.lit(False)).unionByName(
+        batch.withColumn(_COMES, F.lit(True))
+    )
+    return both, lambda rows, lie_by: unreplaced_rows(rows, keys, lie_by)

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, replace
 from datetime import date
 
@@ -205,12 +206,17 @@ def write_months(
     mark: str | None = None,
     whole: bool = False,
     before: State | None = None,
+    choose: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> None:
     """Replace the months present in ``df``, or with ``whole`` the table, in one step.
 
     ``keys`` hold month and cluster columns of at least the rows of ``df``; they are read twice,
     so they should come from stored relations. Without them ``df`` is asked, for these columns
     alone. ``mark`` moves with the months; without one it stays what it was.
+
+    Rows of one month and cluster value always meet in one task, so what depends on such rows
+    alone needs no shuffle of its own: ``choose`` gets the rows where they meet, and the columns
+    they lie by, and returns those to write.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
@@ -223,11 +229,11 @@ def write_months(
     count = max(tasks, -(-rows // FILE_ROWS), 1)
     spans_of(keys, cluster_by, count).coalesce(1).write.parquet(f"{path}/spans/{load}")
     spans = spark.read.parquet(f"{path}/spans/{load}")
-    _write_spans(df, f"{path}/{load}", spans, cluster_by, count)
+    kept = _write_spans(df, f"{path}/{load}", spans, cluster_by, count, choose)
     # One name a month reaches the driver.
     names = [n.partition("=")[2] for n in subfolders(spark, f"{path}/{load}")]
-    kept = {} if whole else before.months
-    months = {**kept, **dict.fromkeys(names, load)}
+    others = {} if whole else before.months
+    months = {**others, **dict.fromkeys(names, load)}
     superseded = [
         f"{f}/{MONTH}={m}" for m, f in before.months.items() if f and months.get(m) != f
     ]
@@ -236,7 +242,7 @@ def write_months(
         load=before.load + 1,
         months=months,
         replaced=superseded,
-        schema=json.loads(df.select(*_without_month(df), MONTH).schema.json()),
+        schema=json.loads(kept.select(*_without_month(kept), MONTH).schema.json()),
         cluster_by=cluster_by,
         mark=mark or before.mark,
     )
@@ -247,18 +253,27 @@ def _without_month(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != MONTH]
 
 
-def _write_spans(df: DataFrame, folder: str, spans: DataFrame, cluster_by: list[str], count: int) -> None:
-    """Write rows by month and span; a task writes one span, in order."""
+def _write_spans(
+    df: DataFrame,
+    folder: str,
+    spans: DataFrame,
+    cluster_by: list[str],
+    count: int,
+    choose: Callable[[DataFrame, list[str]], DataFrame] | None,
+) -> DataFrame:
+    """Write rows by month and span; a task writes one span, in order. Returns what was written."""
     listed = F.sort_array(F.collect_list(F.struct("low", "span"))).alias("cuts")
     # One row a month, of as many entries as the month has files.
     cuts = spans.groupBy(F.col(MONTH).alias("of")).agg(listed)
     placed = df.join(cuts, F.col(MONTH).eqNullSafe(F.col("of")), "left")
     span = F.coalesce(span_of(F.col("cuts"), F.struct(*cluster_by), count), F.lit(0))
+    placed = placed.withColumn("span", span).drop("of", "cuts").repartitionById(count, F.col("span"))
+    if choose:
+        placed = choose(placed, [MONTH, "span", *cluster_by])
     (
-        placed.withColumn("span", span)
-        .drop("of", "cuts")
-        .repartitionById(count, F.col("span"))
-        .sortWithinPartitions(MONTH, "span", *cluster_by)
-        .write.partitionBy(MONTH, "span")
+        placed.sortWithinPartitions(MONTH, "span", *cluster_by)
+        .write.option("compression", "zstd")
+        .partitionBy(MONTH, "span")
         .parquet(folder)
     )
+    return placed.drop("span")
