@@ -35,9 +35,9 @@ from pampero.workspace import discard
 
 MONTH = "month_start"
 
-#: Rows of a file: as many as this where there are enough, and no fewer than that for the sake of
-#: more tasks.
-FILE_ROWS, LEAST_ROWS = 2_000_000, 2_000
+#: Rows of a file: as many as this where there are enough, which a task sorts in memory, and no
+#: fewer than that for the sake of more tasks.
+FILE_ROWS, LEAST_ROWS = 500_000, 2_000
 
 #: How a month is written in folder names and the pointer.
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
@@ -207,6 +207,7 @@ def write_months(
     whole: bool = False,
     before: State | None = None,
     choose: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replace the months present in ``df``, or with ``whole`` the table, in one step.
 
@@ -216,7 +217,9 @@ def write_months(
 
     Rows of one month and cluster value always meet in one task, so what depends on such rows
     alone needs no shuffle of its own: ``choose`` gets the rows where they meet, and the columns
-    they lie by, and returns those to write.
+    they lie by, and returns those to write. ``finish`` gets the rows sorted and works out what
+    follows from each alone, so that it need not be shuffled or sorted; it keeps ``span``, month
+    and cluster columns as they are.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
@@ -229,7 +232,7 @@ def write_months(
     count = max(tasks, -(-rows // FILE_ROWS), 1)
     spans_of(keys, cluster_by, count).coalesce(1).write.parquet(f"{path}/spans/{load}")
     spans = spark.read.parquet(f"{path}/spans/{load}")
-    kept = _write_spans(df, f"{path}/{load}", spans, cluster_by, count, choose)
+    kept = _write_spans(df, f"{path}/{load}", spans, cluster_by, count, choose, finish)
     # One name a month reaches the driver.
     names = [n.partition("=")[2] for n in subfolders(spark, f"{path}/{load}")]
     others = {} if whole else before.months
@@ -260,6 +263,7 @@ def _write_spans(
     cluster_by: list[str],
     count: int,
     choose: Callable[[DataFrame, list[str]], DataFrame] | None,
+    finish: Callable[[DataFrame], DataFrame] | None,
 ) -> DataFrame:
     """Write rows by month and span; a task writes one span, in order. Returns what was written."""
     listed = F.sort_array(F.collect_list(F.struct("low", "span"))).alias("cuts")
@@ -270,10 +274,9 @@ def _write_spans(
     placed = placed.withColumn("span", span).drop("of", "cuts").repartitionById(count, F.col("span"))
     if choose:
         placed = choose(placed, [MONTH, "span", *cluster_by])
-    (
-        placed.sortWithinPartitions(MONTH, "span", *cluster_by)
-        .write.option("compression", "zstd")
-        .partitionBy(MONTH, "span")
-        .parquet(folder)
-    )
+    placed = placed.sortWithinPartitions(MONTH, "span", *cluster_by)
+    if finish:
+        placed = finish(placed)
+    # The sorts are part of the plan given, so Spark adds none for the folders.
+    placed.write.option("compression", "zstd").partitionBy(MONTH, "span").parquet(folder)
     return placed.drop("span")

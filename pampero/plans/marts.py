@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from pampero.functions import climate
 from pampero.functions.safe import safe_divide
 from pampero.operators.ranking import best_row, newest
-from pampero.plans.weather import DIMENSION_NAMES, LOAD_ORDER, METRICS
+from pampero.plans.weather import (
+    DIMENSION_NAMES,
+    LOAD_ORDER,
+    METRICS,
+    beside_latest_day,
+    with_metrics,
+    with_quality,
+)
 from pampero.sources.schemas import MEASURES, REPLICATION
 
 CALENDAR = [
@@ -47,12 +54,27 @@ YIELD_MEASURES = [
 ]
 
 
-def fct_weather_daily(quality: DataFrame) -> DataFrame:
-    """Daily weather fact, of rows completed from the location dimension, which names the place.
+def fct_rows(base: DataFrame, latest: DataFrame) -> DataFrame:
+    """What the fact is worked out from, row by row: days completed from the location dimension,
+    which names the place, with their month and the table's newest day.
+
+    About half as wide as the fact, so it is these rows that are shuffled and sorted.
+    """
+    named = base.withColumns(
+        {
+            **{c: F.coalesce(f"_dim_{c}", c) for c in DIMENSION_NAMES},
+            "month_start": F.trunc("date", "month"),
+        }
+    )
+    return beside_latest_day(named.drop(*[f"_dim_{c}" for c in DIMENSION_NAMES]), latest)
+
+
+def fct_weather_daily(rows: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """Daily weather fact, and columns of the rows carried along as they are.
 
     Position and country keep what the base resolved.
     """
-    return quality.select(
+    return with_quality(with_metrics(rows)).select(
         "location_id",
         "latitude",
         "longitude",
@@ -71,7 +93,8 @@ def fct_weather_daily(quality: DataFrame) -> DataFrame:
         "has_location_dimension",
         *LOADED,
         *REPLICATION,
-        *[F.coalesce(f"_dim_{c}", c).alias(c) for c in DIMENSION_NAMES],
+        *DIMENSION_NAMES,
+        *(carried or []),
     )
 
 

@@ -98,11 +98,14 @@ class Models:
         return self.keep(dim, "dim_location")
 
     @cached_property
-    def fct_weather(self) -> DataFrame:
+    def fct_rows(self) -> DataFrame:
         # One join with the dimension, which holds the catalogue, both completes and names.
         base = weather.daily_base(self.best_weather, self.dim_location)
-        quality = weather.with_quality(weather.with_metrics(base), self.latest_day)
-        return marts.fct_weather_daily(quality)
+        return marts.fct_rows(base, self.latest_day)
+
+    @cached_property
+    def fct_weather(self) -> DataFrame:
+        return marts.fct_weather_daily(self.fct_rows)
 
     @cached_property
     def tax(self) -> DataFrame:

@@ -147,17 +147,23 @@ def approved() -> Column:
     return ~raised
 
 
-def with_partial_latest_day(flagged: DataFrame, latest: DataFrame) -> DataFrame:
-    """Mark rows of the newest day that still lack a critical measure."""
+def beside_latest_day(df: DataFrame, latest: DataFrame) -> DataFrame:
+    """Rows with the newest day of the table, ``latest_date``."""
     # `latest` is one row, whatever the size of the table.
-    paired = flagged.crossJoin(F.broadcast(latest))
+    return df.crossJoin(F.broadcast(latest))
+
+
+def with_partial_latest_day(flagged: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    """Mark rows of the newest day that still lack a critical measure. Without ``latest`` the rows
+    carry it."""
+    paired = flagged if latest is None else beside_latest_day(flagged, latest)
     partial = (F.col("date") == F.col("latest_date")) & (F.col("critical_null_count") > 0)
     return paired.withColumn(
         "is_partial_latest_day", F.coalesce(partial, F.lit(False))
     ).drop("latest_date")
 
 
-def with_quality(metrics: DataFrame, latest: DataFrame) -> DataFrame:
+def with_quality(metrics: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """Add quality flags, risk flags, the partial-day mark and the approval."""
     flagged = with_quality_flags(metrics).withColumns(climate.risk_flags())
     return with_partial_latest_day(flagged, latest).withColumn("is_quality_approved", approved())

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pampero.operators.monthly import read_table, write_months
+from pampero.operators.monthly import MONTH, read_table, write_months
+from pampero.plans import marts
 from pampero.plans.models import Models
 from pampero.sources.schemas import documented
 
@@ -24,7 +26,14 @@ def write_table(df: DataFrame, path: str, cluster_by: list[str]) -> None:
     clustered = documented(df)
     if cluster_by:
         clustered = clustered.repartition(*cluster_by).sortWithinPartitions(*cluster_by)
-    clustered.write.mode("overwrite").parquet(path)
+    clustered.write.option("compression", "zstd").mode("overwrite").parquet(path)
+
+
+def _finished_fact(rows: DataFrame) -> DataFrame:
+    """The fact of rows in the order of its files, which their own month and span say."""
+    kept = rows.withColumn("_month", F.col(MONTH))
+    fact = marts.fct_weather_daily(kept, ["span", "_month"])
+    return documented(fact.drop(MONTH).withColumnRenamed("_month", MONTH))
 
 
 def build(models: Models, out: str) -> dict[str, str]:
@@ -46,8 +55,9 @@ def build(models: Models, out: str) -> dict[str, str]:
     models.dim_province = table("dim_province", models.dim_province, [])
     paths["fct_weather_daily"] = f"{out}/fct_weather_daily"
     fact, cluster_by = paths["fct_weather_daily"], ["province_key", "location_id"]
-    write_months(documented(models.fct_weather), fact, cluster_by, whole=True)
-    models.fct_weather = read_table(spark, fact).select(*models.fct_weather.columns)
+    columns = models.fct_weather.columns
+    write_months(models.fct_rows, fact, cluster_by, whole=True, finish=_finished_fact)
+    models.fct_weather = read_table(spark, fact).select(*columns)
     models.fct_tax = table("fct_tax_province", models.fct_tax, [])
     models.fct_yield = table("fct_yield_province_campaign", models.fct_yield, [])
     table("mart_province_campaign", models.mart_province_campaign, [])
