@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pampero.llm.common import Shared, Words, buffers, slices, text_bytes
+from pampero.llm.common import Shared, Words, buffers, release, slices, text_bytes
 
 BUCKET_BITS = 18
 FACTORS = 8
@@ -26,6 +26,9 @@ FIT_ROWS, FIT_BYTES = 20_000, 64 << 20
 
 EPOCHS, BATCH, RATE, START, SEED = 20, 256, 0.3, 0.1, 7
 
+#: Terms whose penalties are made up for at once in the end.
+SETTLED = 8192
+
 #: Penalty on the size of a weight and on the length of a vector, against the log-loss summed
 #: over the rows: a term that is in one or two rows of a label alone cannot outweigh it.
 WEIGHT_PENALTY, VECTOR_PENALTY = 1.0, 0.3
@@ -121,7 +124,9 @@ def fit(features: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, n: int
                 push += float(slope.sum())
             bias_squares += push**2
             bias -= RATE * push / np.sqrt(bias_squares)
-    settle(np.arange(n))
+    # Some at a time: working on all terms at once would take several times the machine's size.
+    for at in range(0, n, SETTLED):
+        settle(np.arange(at, min(at + SETTLED, n)))
     return Machine(
         features, bias, params[:, 0].astype(np.float32), params[:, 1:].astype(np.float32)
     )
@@ -174,15 +179,26 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column) -> Machine | N
     ahead = Window.orderBy(order, "doc_id", "terms").rowsBetween(Window.unboundedPreceding, -1)
     held = F.coalesce(F.sum(F.octet_length("terms")).over(ahead), F.lit(0))
     fits = (held == 0) | (held + F.octet_length("terms") <= FIT_BYTES)
-    sample = named.withColumn("fits", fits).where("fits").drop("fits").collect()
-    if not sample:
+    sample = named.withColumn("fits", fits).where("fits").select("terms", "toxic")
+    sets, toxic = [], []
+    # What the driver is done with goes first, since it is here that it holds most.
+    release(docs.sparkSession)
+    # The driver holds each set once, and few rows beside: they come in turn, and are numbered
+    # in place.
+    for row in sample.toLocalIterator():
+        sets.append(np.frombuffer(bytearray(row["terms"]), np.int32))
+        toxic.append(row["toxic"])
+    if not sets:
         return None
-    sets = [np.frombuffer(r["terms"], np.int32) for r in sample]
-    known = np.unique(np.concatenate(sets))
+    seen = np.zeros(1 << BUCKET_BITS, bool)
+    for x in sets:
+        seen[x] = True
+    known = np.flatnonzero(seen)
     number = np.full(1 << BUCKET_BITS, -1, np.int32)
     number[known] = np.arange(len(known))
-    toxic = np.array([r["toxic"] for r in sample], float)
-    return fit(number, [number[x] for x in sets], toxic, max(len(known), 1))
+    for x in sets:
+        x[:] = number[x]
+    return fit(number, sets, np.array(toxic, float), max(len(known), 1))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataFrame:
