@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pampero.llm.common import (
+    STAGED,
     buffers,
     cell_filter,
     fold,
@@ -35,6 +36,7 @@ from pampero.llm.common import (
     stage,
     text_bytes,
 )
+from pampero.workspace import discard
 
 LENGTH = 50
 
@@ -403,15 +405,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .applyInPandas(compare, FLAGS),
         "piece-flags",
     )
+    flags_path = STAGED[-1]
     told = flags.groupBy("rank", "variant").agg(
         F.collect_list(F.struct("part", "flags")).alias("told")
     )
     met = looked.join(told.select("rank", "variant"), ["rank", "variant"])
     release(spark)
     opened = stage(open_pieces(read_texts(docs, met), told, length, parts), "met-texts")
+    # Shuffled texts and pieces are let go of before others are shuffled.
+    del told, met, flags
+    discard(spark, flags_path)
     release(spark)
     found = repeats_of(opened, length)
-    results = measured(opened, found, length)
+    starts = stage(
+        found.groupBy("rank", "variant").agg(F.collect_set("start").alias("more")), "repeat-starts"
+    )
+    del found
+    release(spark)
+    results = measured(opened, starts, length)
 
     whole = (F.col("rank") > F.col("first")) & (F.col("n_bytes") >= length)
     named = firsts.select("digest", F.col("rank").alias("first"), "variant")
@@ -465,7 +476,7 @@ def read_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 OPENED = (
     "rank long, variant long, body binary, starts binary, ends binary, "
-    "open array<struct<key:long,start:long,text:binary>>"
+    "open array<struct<key:long,start:long,size:long>>"
 )
 
 
@@ -484,14 +495,15 @@ def open_pieces(texts: DataFrame, told: DataFrame, length: int, parts: int) -> D
                 ends.append(covered[1].tobytes())
                 opened.append(
                     [
-                        {"key": int(k), "start": int(a), "text": body[a : b + length - 1]}
+                        {"key": k, "start": a, "size": b + length - 1 - a}
                         for k, a, b in zip(
-                            keys[flag == OPEN].view(np.int64), *spans[:, flag == OPEN].tolist()
+                            keys[flag == OPEN].view(np.int64).tolist(),
+                            *spans[:, flag == OPEN].tolist(),
                         )
                     ]
                 )
             kind = pa.list_(
-                pa.struct([("key", pa.int64()), ("start", pa.int64()), ("text", pa.binary())])
+                pa.struct([("key", pa.int64()), ("start", pa.int64()), ("size", pa.int64())])
             )
             yield pa.RecordBatch.from_arrays(
                 [
@@ -515,11 +527,16 @@ FOUND = "rank long, variant long, start long"
 
 def repeats_of(opened: DataFrame, length: int) -> DataFrame:
     """``rank, variant, start`` of open windows that a smaller document has too."""
-    pieces = opened.select("rank", "variant", F.explode("open").alias("o")).select(
-        "rank", "variant", "o.*"
+    spots = opened.select("rank", "variant", "body", F.explode("open").alias("o"))
+    first, size = F.col("o.start").cast("int") + 1, F.col("o.size").cast("int")
+    pieces = spots.select(
+        "rank", "variant", "o.key", "o.start", F.substring("body", first, size).alias("text")
     )
-    sizes = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.where(F.col("n") > HOT_KEY).select("key")
+    sizes = spots.select("o.key").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # At most one piece in HOT_KEY is such a key, so that every task gets them and no text is
+    # shuffled to be told apart.
+    hot = stage(sizes.where(F.col("n") > HOT_KEY).select("key"), "hot-keys")
+    some_hot = not hot.isEmpty()
     parts = int(opened.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def sort(batches):
@@ -551,17 +568,19 @@ def repeats_of(opened: DataFrame, length: int) -> DataFrame:
             names=["rank", "variant", "start"],
         )
 
+    cold = pieces.join(F.broadcast(hot), "key", "left_anti") if some_hot else pieces
     by_key = (
-        pieces.join(hot, "key", "left_anti")
-        .select("key", "rank", "variant", "start", "text")
+        cold.select("key", "rank", "variant", "start", "text")
         .repartition(parts, "key")
         .sortWithinPartitions("key")
     )
     sorted_repeats = by_key.mapInArrow(sort, FOUND)
+    if not some_hot:
+        return sorted_repeats
 
     at = F.explode(F.sequence(F.lit(0), F.length("text") - length)).alias("at")
     windows = (
-        pieces.join(hot, "key")
+        pieces.join(F.broadcast(hot), "key")
         .select("rank", "variant", "start", "text", at)
         .select(
             "rank",
@@ -575,8 +594,9 @@ def repeats_of(opened: DataFrame, length: int) -> DataFrame:
     return sorted_repeats.union(counted.select("rank", "variant", "start"))
 
 
-def measured(opened: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """``rank, variant, removed, spans, kept`` of the texts met elsewhere."""
+def measured(opened: DataFrame, starts: DataFrame, length: int) -> DataFrame:
+    """``rank, variant, removed, spans, kept`` of the texts met elsewhere; ``starts`` has the
+    repeated windows of each as ``more``."""
 
     def measure(batches):
         for batch in slices(batches, "body"):
@@ -609,7 +629,6 @@ def measured(opened: DataFrame, found: DataFrame, length: int) -> DataFrame:
                 names=["rank", "variant", "removed", "spans", "kept"],
             )
 
-    starts = found.groupBy("rank", "variant").agg(F.collect_set("start").alias("more"))
     return (
         opened.select("rank", "variant", "body", "starts", "ends")
         .join(starts, ["rank", "variant"], "left")

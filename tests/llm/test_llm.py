@@ -381,6 +381,32 @@ def test_repeats_are_removed_as_by_brute_force(spark, monkeypatch, hot):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_open_pieces_are_shuffled_once(spark, monkeypatch):
+    """Without hot keys texts of pieces are not shuffled to look for them, the table of flags is
+    deleted once it was read, and open pieces do not hold their texts a second time."""
+    prepare(spark)
+    plans = []
+    settled = suffix_dedup.repeats_of
+
+    def looked_at(opened, length):
+        assert "text" not in opened.schema["open"].dataType.elementType.names
+        found = settled(opened, length)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(suffix_dedup, "repeats_of", looked_at)
+    body = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame(
+        [(1, body), (2, "before " + body), (3, body + " after")], "doc_id long, text string"
+    )
+    before = len(suffix_dedup.STAGED)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == {1: 0, 2: len(body), 3: len(body)}
+    assert plans[0].count("Exchange hashpartitioning") == 1
+    flags = [p for p in suffix_dedup.STAGED[before:] if "/piece-flags-" in p]
+    assert len(flags) == 1 and not Path(flags[0]).exists()
+
+
 def test_stretches_hold_all_windows_met_again():
     rng = random.Random(7)
     cutter = suffix_dedup.Cutter(5)
