@@ -24,16 +24,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pampero.llm.common import (
+    STAGED,
     Words,
     buffers,
     cell_filter,
     fold,
     in_cells,
+    release,
     slices,
     stage,
     text_bytes,
 )
 from pampero.llm.components import components
+from pampero.workspace import discard
 
 SHINGLE = 5
 PERCENT = 80
@@ -252,17 +255,17 @@ def alike(overlap: Column, na: Column, nb: Column, percent: int) -> Column:
 
 
 def room(percent: int) -> Column:
-    """Whether sizes and places of two list entries leave room for the overlap needed.
+    """Whether sizes and places of two list entries leave room for the overlap needed, if the
+    member is the first that the two sets share.
 
-    What two sets have in common before a member they share is in the prefixes of both, so in
-    lists: members that only one set has leave no room there.
+    One meeting a pair is enough, and the first shared member of two alike sets is in the prefixes
+    of both, with all of their overlap from there on. Later meetings are not looked at.
     """
     na, nb = F.col("x.n"), F.col("y.n")
     behind = F.least(na - F.col("x.place"), nb - F.col("y.place"))
-    before = F.least(F.col("x.shared"), F.col("y.shared"))
     return (
         (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-        & (before + behind >= needed(na, nb, percent))
+        & (behind >= needed(na, nb, percent))
     )
 
 
@@ -357,7 +360,9 @@ def jaccard_links(
     A node is a class of equal sets; empty sets belong to none. Links are all that are needed
     for the components of the full join; a pair already connected is not counted out.
     """
+    spark = docs.sparkSession
     rows = prefix_rows(docs, k, percent)
+    rows_path = STAGED[-1]
     filled = rows.where("n > 0")
     classes = filled.groupBy("d1", "d2", "n").agg(F.min("row").alias("node"))
     members = filled.select("row", "doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"])
@@ -370,8 +375,12 @@ def jaccard_links(
         ),
         "set-classes",
     )
+    member_rows = stage(member_rows, "set-members")
+    # Prefixes of all rows are read no more: those of one set of each class are in ``reps``.
+    discard(spark, rows_path)
     total = reps.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     entries = list_entries(reps, total // 8)
+    release(spark)
 
     # Each set with one of its block, where sizes are within a tenth of each other: that with the
     # fewest members of its own, as the text that copies were made from.
@@ -395,7 +404,10 @@ def jaccard_links(
         if turn and plain.isEmpty():
             break
         sets = stage(members_of(docs, reps, endpoints(plain), k), "sets")
+        sets_path = STAGED[-1]
         counted = stage(overlaps(plain, sets), "set-overlaps")
+        discard(spark, sets_path)
+        release(spark)
         found = counted.where(alike(F.col("overlap"), F.col("na"), F.col("nb"), percent))
         tried = plain if tried is None else tried.union(plain)
         links = found if links is None else links.union(found)
@@ -421,6 +433,7 @@ def jaccard_links(
         .select("member")
     )
     open_entries = stage(known.join(mixed, "member"), "set-lists-open")
+    release(spark)
     crossing = (
         open_entries.alias("x")
         .join(open_entries.alias("y"), "member")
@@ -466,7 +479,7 @@ def jaccard_links(
     more = overlaps(open_pairs.select("a", "b", "na", "nb"), sets)
     more = more.where(alike(F.col("overlap"), F.col("na"), F.col("nb"), percent))
     found = links.select("a", "b", "overlap").union(sure).union(more.select("a", "b", "overlap"))
-    return stage(member_rows, "set-members"), stage(found, "set-links")
+    return member_rows, stage(found, "set-links")
 
 
 def pair() -> list[Column]:

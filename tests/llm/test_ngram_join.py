@@ -1,6 +1,7 @@
 """Components of near copies against brute force, and the pairs compared for them."""
 
 import random
+from pathlib import Path
 
 import pytest
 
@@ -87,3 +88,26 @@ def test_members_of_one_set_leave_no_room(spark, monkeypatch):
     got = ngram_join.jaccard_components(docs).collect()
     assert all(r["component_id"] == r["doc_id"] for r in got) and len(got) == 60
     assert sum(paired) == 0
+
+
+def test_two_sets_meet_under_their_first_shared_members_alone(spark):
+    """A place that leaves less than the overlap needed behind it cannot be that of the first
+    shared member, whatever members before it are in lists too."""
+    entries = spark.createDataFrame(
+        [(1, 100, 11, 11), (2, 100, 12, 12), (3, 100, 12, 5)],
+        "node long, n long, place long, shared long",
+    )
+    x = entries.select("node", "n", "place", "shared").alias("x")
+    y = entries.select("node", "n", "place", "shared").alias("y")
+    met = x.join(y, ngram_join.F.expr("x.node <= y.node")).where(ngram_join.room(80))
+    assert [tuple(r) for r in met.select("x.node", "y.node").collect()] == [(1, 1)]
+
+
+def test_scratch_tables_nothing_reads_any_more_are_deleted(spark):
+    texts = near_copies(3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = len(ngram_join.STAGED)
+    members, links = ngram_join.jaccard_links(docs)
+    left = {Path(p).name.rsplit("-", 1)[0] for p in ngram_join.STAGED[before:] if Path(p).exists()}
+    assert "set-prefixes" not in left and {"set-members", "set-links"} <= left
+    assert members.count() == len(texts) and links.count() > 0
