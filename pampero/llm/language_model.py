@@ -85,23 +85,40 @@ class Bilinear:
             at += a.size
         return Bilinear(*out)
 
-    def predictions(self, contexts: np.ndarray) -> np.ndarray:
-        total = (self.inputs * self.distance[0]).take(contexts[:, 0], axis=0)
+    def weighed(self) -> list[np.ndarray]:
+        """The vectors of all classes at each distance."""
+        return [self.inputs * self.distance[i] for i in range(CONTEXT)]
+
+    def predictions(self, contexts: np.ndarray, weighed: list[np.ndarray] | None = None) -> np.ndarray:
+        weighed = weighed or self.weighed()
+        total = weighed[0].take(contexts[:, 0], axis=0)
         for i in range(1, CONTEXT):
-            total += (self.inputs * self.distance[i]).take(contexts[:, i], axis=0)
+            total += weighed[i].take(contexts[:, i], axis=0)
         return total
 
+    def highest(self, weighed: list[np.ndarray]) -> float:
+        """No score of a class is further from zero."""
+        length = lambda a: float(np.sqrt((a.astype(np.float64) ** 2).sum(axis=1).max()))
+        return sum(map(length, weighed)) * length(self.outputs) + float(np.abs(self.bias).max())
+
     def log10(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Normalised log-probabilities of the target classes."""
         out = np.empty(len(targets))
-        for at in range(0, len(targets), 512):
-            part = slice(at, at + 512)
-            scores = self.predictions(contexts[part]) @ self.outputs.T + self.bias
+        weighed, ones = self.weighed(), np.ones(CLASSES, np.float32)
+        # Where no exponential can overflow, scores need not be moved by a row's highest first.
+        bounded = self.highest(weighed) < 60
+        for at in range(0, len(targets), 256):
+            part = slice(at, at + 256)
+            scores = self.predictions(contexts[part], weighed) @ self.outputs.T
+            scores += self.bias
             own = scores[np.arange(len(scores)), targets[part]].astype(np.float64)
-            highest = scores.max(axis=1, keepdims=True)
-            scores -= highest
+            if not bounded:
+                highest = scores.max(axis=1, keepdims=True)
+                scores -= highest
+                own -= highest[:, 0]
             np.exp(scores, out=scores)
-            out[part] = own - highest[:, 0] - np.log(scores.sum(axis=1, dtype=np.float64))
+            # A product adds up a row; the terms are positive, so nothing cancels.
+            out[part] = own - np.log((scores @ ones).astype(np.float64))
         return out / np.log(10)
 
 
@@ -133,20 +150,20 @@ class Learner:
         noise = np.searchsorted(self.cumulative, self.rng.random(NOISE) * self.cumulative[-1])
         noise = np.minimum(noise, CLASSES - 1)
         q = m.predictions(contexts)
-        of_noise = m.outputs[noise]
-        data = (q * m.outputs[targets]).sum(axis=1) + m.bias[targets] - self.log_noise[targets]
+        of_noise, of_data = m.outputs.take(noise, axis=0), m.outputs.take(targets, axis=0)
+        data = (q * of_data).sum(axis=1) + m.bias[targets] - self.log_noise[targets]
         drawn = q @ of_noise.T + (m.bias[noise] - self.log_noise[noise])
         scale = np.float32(1 / len(targets))
         pull = -scale / (1 + np.exp(np.clip(data, -30, 30)))
         push = scale / (1 + np.exp(-np.clip(drawn, -30, 30)))
-        to_q = push @ of_noise + pull[:, None] * m.outputs[targets]
+        to_q = push @ of_noise + pull[:, None] * of_data
         outputs = rows_added(np.concatenate((targets, noise)), np.concatenate((pull[:, None] * q, push.T @ q)), CLASSES)
         bias = np.bincount(targets, pull, CLASSES) + np.bincount(noise, push.sum(axis=0), CLASSES)
         # One sum of ``to_q`` by place and class serves the vectors and their weights.
-        shifted = contexts + np.arange(CONTEXT) * (CLASSES + 1)
-        by_place = rows_added(
-            shifted.T.ravel(), np.tile(to_q, (CONTEXT, 1)), CONTEXT * (CLASSES + 1)
-        ).reshape(CONTEXT, CLASSES + 1, WIDTH)
+        by_place = np.empty((CONTEXT, CLASSES + 1, WIDTH), np.float32)
+        pulls = to_q.astype(np.float64)
+        for i in range(CONTEXT):
+            by_place[i] = rows_added(contexts[:, i], pulls, CLASSES + 1)
         inputs = np.einsum("pcw,pw->cw", by_place, m.distance)
         distance = np.einsum("pcw,cw->pw", by_place, m.inputs)
         for array, square, gradient in zip(
@@ -156,11 +173,14 @@ class Learner:
             array -= RATE * gradient / np.sqrt(square)
 
 
+#: Cells of a class's row, in a matrix of rows one after the other.
+CELLS = np.arange(CLASSES + 1)[:, None] * WIDTH + np.arange(WIDTH)
+
+
 def rows_added(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Rows added up by index."""
-    width = rows.shape[1]
-    cells = (index[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(cells, rows.ravel(), n * width).astype(np.float32).reshape(n, width)
+    """Rows of ``WIDTH`` added up by class."""
+    cells = CELLS.take(index, axis=0).ravel()
+    return np.bincount(cells, rows.ravel(), n * WIDTH).astype(np.float32).reshape(n, WIDTH)
 
 
 # --- tokens ---------------------------------------------------------------------------------
