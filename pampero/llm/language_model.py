@@ -96,29 +96,20 @@ class Bilinear:
             total += weighed[i].take(contexts[:, i], axis=0)
         return total
 
-    def highest(self, weighed: list[np.ndarray]) -> float:
-        """No score of a class is further from zero."""
-        length = lambda a: float(np.sqrt((a.astype(np.float64) ** 2).sum(axis=1).max()))
-        return sum(map(length, weighed)) * length(self.outputs) + float(np.abs(self.bias).max())
-
     def log10(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Normalised log-probabilities of the target classes."""
         out = np.empty(len(targets))
-        weighed, ones = self.weighed(), np.ones(CLASSES, np.float32)
-        # Where no exponential can overflow, scores need not be moved by a row's highest first.
-        bounded = self.highest(weighed) < 60
-        for at in range(0, len(targets), 256):
-            part = slice(at, at + 256)
+        weighed, ones = self.weighed(), np.ones(CLASSES)
+        for at in range(0, len(targets), 512):
+            part = slice(at, at + 512)
             scores = self.predictions(contexts[part], weighed) @ self.outputs.T
             scores += self.bias
             own = scores[np.arange(len(scores)), targets[part]].astype(np.float64)
-            if not bounded:
-                highest = scores.max(axis=1, keepdims=True)
-                scores -= highest
-                own -= highest[:, 0]
+            highest = scores.max(axis=1, keepdims=True)
+            scores -= highest
             np.exp(scores, out=scores)
-            # A product adds up a row; the terms are positive, so nothing cancels.
-            out[part] = own - np.log((scores @ ones).astype(np.float64))
+            # A product adds up a row, in doubles: a likely token's terms differ by far.
+            out[part] = own - highest[:, 0] - np.log(scores.astype(np.float64) @ ones)
         return out / np.log(10)
 
 
