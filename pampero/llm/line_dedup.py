@@ -1,19 +1,23 @@
 """Line deduplication by a segment-partition edit join, in DataFrame functions alone.
 
 Of two lines within ``edits`` edits, the shorter cut into ``edits + 1`` segments has one that the
-longer holds unchanged, at a place that the difference of lengths and the edits before it allow.
-Every line is filed under its own segments and probes, for each length up to ``edits`` below its
-own, the substrings at those places. Lines that meet under a key are verified: what they have in
-common at both ends is taken off, and the rest goes through a banded edit distance whose columns
-are bit vectors as wide as the band.
+longer holds unchanged, at a place that the edits beside it allow. Segments are as long for all
+lines of about one length; every line is filed under what it holds at these places, with the sizes
+for its own length and for each up to ``edits`` below. Lines that meet under a key are verified:
+what they have in common at both ends is taken off, what is left has to share a segment again, and
+then goes through a banded edit distance whose columns are bit vectors as wide as the band.
 
 A line goes if an earlier one is alike, so one witness is enough. Under each key, lines are first
-compared with the earliest line there, one pair a line; only lines this leaves open, where more
-than two meet, are compared with all earlier ones of the key.
+compared with the earliest line there, one pair a line. Of the lines this leaves open, those under
+keys of few lines are compared with all earlier ones there. Under a key of many lines the shared
+segment is taken out and the rest, which is as near, is filed by segments of its own, under the key:
+lines meet again only if they share one of these too, and so on.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +28,20 @@ EDITS = 2
 #: Characters a line has at least to be looked at; shorter ones and blank ones stay.
 MIN_CHARS = 20
 
-#: Cells of the filters that keep rows out of a shuffle: 128 KB and 2 MB, whatever the data.
-KEY_CELLS, LINE_CELLS = 20, 24
+#: Cells of the filters that keep rows out of a shuffle: 2 MB of bits, whatever the data.
+KEY_CELLS = LINE_CELLS = 24
+
+#: Lines of a key up to which all pairs of them are compared; more are filed anew.
+FEW = 32
+
+#: How often lines are filed anew. What is left then shares all but a third of its characters.
+DEPTH = 3
 
 LAST = (1 << 63) - 1
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``rank, check, pos, line, id, twin`` of the lines looked at.
+    """``rank, check, pos, line, chars, id, twin`` of the lines looked at.
 
     ``rank`` and ``check`` tell the document and order it; ``id`` and ``twin`` are 64-bit hashes
     of the line, together its identity.
@@ -44,52 +54,84 @@ def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
             F.xxhash64(text).alias("check"),
             F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
         )
-        .where(F.char_length(line) >= min_chars)
+        .withColumn("chars", F.char_length(line))
+        .where(F.col("chars") >= min_chars)
         .withColumns({"id": F.xxhash64(line), "twin": F.xxhash64(line, F.lit(1))})
     )
 
 
-def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """First character, from 1, and number of characters of segment i of a line."""
-    parts = edits + 1
-    low = F.floor(length * i / parts).cast("int")
-    return low + 1, F.floor(length * (i + 1) / parts).cast("int") - low
+def segment_size(length: Column, edits: int) -> Column:
+    """Characters of a segment of lines of a length: at most their ``edits + 1``-th part, cut to
+    four binary digits, so that lines of about one length have segments of one size."""
+    part = F.floor(F.greatest(length, F.lit(0)) / (edits + 1)).cast("int")
+    digits = F.floor(F.log2(F.greatest(part, F.lit(1)))).cast("int")
+    shift = F.greatest(digits - 3, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", part, shift), shift)
 
 
-def keys_of(line: Column, edits: int) -> Column:
-    """Hashes of a line's own segments and of the substrings it probes, by length and number."""
-    found = []
-    for shorter in range(edits + 1):
-        length = F.char_length(line) - shorter
-        for i in range(edits + 1):
-            start, size = segment(length, i, edits)
-            # Places left by what may be edited before the segment and behind it.
-            low = max(-i, shorter - (edits - i))
-            high = min(i, shorter + (edits - i))
-            for shift in range(low, high + 1):
-                part = F.substring(line, start + shift, size)
-                found.append(F.xxhash64(part, length, F.lit(i)))
-    return F.array_distinct(F.array(*found))
+def places(edits: int) -> list[tuple[int, int]]:
+    """Number of each segment and shift of a place it may be at. Segments of the second half are
+    told from the end. Of a segment that is unchanged in both lines, with as many edits before it as
+    its number at most and no more behind it than segments, the nearer end moves it by these edits."""
+    return [
+        (i, shift)
+        for i in range(edits + 1)
+        for shift in range(-min(i, edits - i), min(i, edits - i) + 1)
+    ]
 
 
-def cells(values: DataFrame, column: str, bits: int) -> DataFrame:
-    """Bitmap over 2**bits cells of which hold a value, in rows of 32,768."""
-    cell = F.shiftrightunsigned(column, 64 - bits) + 1
-    return values.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits")
+def filed(rows: DataFrame, line: str, edits: int, under: list[Column], text: bool = False) -> DataFrame:
+    """Rows with each ``key`` of a line, made of columns ``under`` too; with ``text`` as ``at``, a
+    struct of the ``key`` and the ``rest`` of the line without the segment.
+
+    Arrays are exploded where they are made: Spark asks a column first whether it is empty, and
+    would work all keys out twice for that.
+    """
+    whole = F.col(line)
+    kept = rows.columns
+    length, size = F.col("__chars"), F.col("__size")
+    # Most lengths have segments as long as the length below them.
+    sizes = F.array_distinct(
+        F.array(*[segment_size(length - less, edits) for less in range(edits + 1)])
+    )
+    rows = rows.withColumn("__chars", F.char_length(whole)).select(
+        "*", F.explode(sizes).alias("__size")
     )
+    keys = []
+    for i, shift in places(edits):
+        if 2 * i <= edits:
+            start = size * i + 1 + shift
+        else:
+            start = length - size * (edits + 1 - i) + 1 + shift
+        key = F.xxhash64(F.substring(whole, start, size), size, F.lit(i), *under)
+        if text:
+            rest = F.concat(F.left(whole, start - 1), F.substring(whole, start + size, length))
+            key = F.struct(key.alias("key"), rest.alias("rest"))
+        keys.append(key)
+    return rows.select(*kept, F.explode(F.array_distinct(F.array(*keys))).alias("at" if text else "key"))
+
+
+def cell_of(column: str, bits: int) -> tuple[Column, Column]:
+    """Number of a hash's cell, as that of a word of 64 cells and of the bit in it."""
+    cell = F.shiftrightunsigned(column, 64 - bits)
+    return F.shiftright(cell, 6), cell.bitwiseAND(F.lit(63)).cast("int")
+
+
+def cells(values: DataFrame, column: str, bits: int) -> DataFrame:
+    """Bitmap over 2**bits cells of which hold a value, in words."""
+    word, bit = cell_of(column, bits)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    return values.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
 
 
 def in_cells(rows: DataFrame, column: str, bitmap: DataFrame, bits: int) -> DataFrame:
     """Rows whose cell is filled. The bitmap's size is fixed by ``bits``, so every task gets it."""
-    cell = F.shiftrightunsigned(column, 64 - bits) + 1
-    at = F.bitmap_bit_position(cell)
-    byte = F.conv(F.hex(F.substring("bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+    word, bit = cell_of(column, bits)
     kept = rows.columns
     return (
-        rows.withColumn("bucket", F.bitmap_bucket_number(cell))
-        .join(F.broadcast(bitmap), "bucket")
-        .where(F.call_function("getbit", byte.cast("long"), at.bitwiseAND(F.lit(7)).cast("int")) == 1)
+        rows.withColumn("word", word)
+        .join(F.broadcast(bitmap), "word")
+        .where(F.call_function("getbit", F.col("bits"), bit) == 1)
         .select(*kept)
     )
 
@@ -186,9 +228,25 @@ def within_edits(rows: Column, columns: Column, edits: int) -> Column:
     return F.aggregate(steps, state, column, lambda a: a["score"]) <= edits
 
 
-def near_pairs(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+def share_segment(edits: int) -> Column:
+    """Whether ``s, t`` can be within ``edits`` edits, by one segment of the shorter in the longer."""
+    longer = F.char_length("s") > F.char_length("t")
+    a = F.when(longer, F.col("t")).otherwise(F.col("s"))
+    b = F.when(longer, F.col("s")).otherwise(F.col("t"))
+    size = F.floor(F.char_length(a) / (edits + 1)).cast("int")
+    found = F.lit(False)
+    for i, shift in places(edits):
+        if 2 * i <= edits:
+            own = other = size * i + 1
+        else:
+            own, other = [F.char_length(c) - size * (edits + 1 - i) + 1 for c in (a, b)]
+        found = found | (F.substring(a, own, size) == F.substring(b, other + shift, size))
+    return found
+
+
+def near_pairs(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """Pairs ``x, y`` of line ids within ``edits`` edits, as ``later, earlier``."""
-    of = lambda s: firsts.select(
+    of = lambda s: texts.select(
         F.col("id").alias(s), F.col("first").alias(f"{s}_first"), F.col("chars").alias(f"{s}_chars")
     )
     sized = (
@@ -206,38 +264,68 @@ def near_pairs(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, edits: int
         "s",
         "t",
     )
-    # Stored: a condition on the ends taken off would be rewritten in terms of whole lines.
-    ends = without_common_ends(named).select(
-        "later", "earlier", *[characters(F.col(c), edits).alias(c) for c in "st"]
+    # Stored: a condition on the ends taken off would be rewritten in terms of whole lines, and one
+    # on characters in terms of strings.
+    ends = stage(without_common_ends(named), "line-pairs").where(share_segment(edits))
+    ends = stage(
+        ends.select("later", "earlier", *[characters(F.col(c), edits).alias(c) for c in "st"]),
+        "line-pairs",
     )
-    ends = stage(ends, "line-pairs")
     return ends.where(within_edits(F.col("s"), F.col("t"), edits)).select("later", "earlier")
 
 
 def texts_of(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``id, line`` of the lines in pairs."""
+    """``id, line, chars, first`` of the lines in pairs; ``first`` is where the line is first."""
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    rows = lines.select("id", "line", "chars", F.struct("rank", "check", "pos").alias("at"))
     return (
-        in_cells(lines.select("id", "line"), "id", cells(wanted, "id", LINE_CELLS), LINE_CELLS)
+        in_cells(rows, "id", cells(wanted, "id", LINE_CELLS), LINE_CELLS)
         .join(wanted, "id")
         .groupBy("id")
-        .agg(F.first("line").alias("line"))
+        .agg(
+            F.first("line").alias("line"),
+            F.max("chars").alias("chars"),
+            F.min("at").alias("first"),
+        )
     )
 
 
-def dropped_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def pair(x: Column | str, y: Column | str) -> list[Column]:
+    return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
+
+
+def refiled(members: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """``key, id, rank, chars, rest`` of members of keys: what is left of a line without the segment it
+    is filed under, once for each place it has it at."""
+    told = filed(members.join(texts.select("id", "line"), "id"), "line", edits, [], text=True)
+    found = told.where(F.col("at.key") == F.col("key"))
+    return found.select("key", "id", "rank", "chars", "at.rest").distinct()
+
+
+def compared(members: DataFrame, done: DataFrame, edits: int) -> DataFrame:
+    """Pairs of lines not ``done`` with all earlier ones of their key, of about their length."""
+    left = members.join(done, "id", "left_anti")
+    alike = F.abs(F.col("x.chars") - F.col("y.chars")) <= edits
+    return (
+        left.alias("x")
+        .join(members.alias("y"), "key")
+        .where((F.col("x.id") != F.col("y.id")) & (F.col("y.rank") <= F.col("x.rank")) & alike)
+        .select(*pair("x.id", "y.id"))
+        .distinct()
+    )
+
+
+def dropped_lines(
+    docs: DataFrame, edits: int, min_chars: int, few: int = FEW, depth: int = DEPTH
+) -> DataFrame:
     """``rank, check, pos`` of every line that an earlier line equals or nearly equals."""
     lines = lines_of(docs, min_chars)
     occurrence = F.struct("rank", "check", "pos")
     firsts = stage(
-        lines.groupBy("id", "twin").agg(
-            F.min(occurrence).alias("first"),
-            F.max(F.char_length("line")).alias("chars"),
-            F.count(F.lit(1)).alias("n"),
-        ),
+        lines.groupBy("id", "twin").agg(F.min(occurrence).alias("first"), F.count(F.lit(1)).alias("n")),
         "first-lines",
     )
-    entries = lines.select("id", "rank", F.explode(keys_of(F.col("line"), edits)).alias("key"))
+    entries = filed(lines.select("id", "rank", "chars", "line"), "line", edits, []).drop("line")
     meetings = stage(
         entries.groupBy("key")
         .agg(
@@ -250,38 +338,66 @@ def dropped_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
         "line-meetings",
     )
     # Two rows under a key are a pair. More are read again, past a filter of their keys.
-    larger = meetings.where("n > 2").select("key", "head")
+    larger = meetings.where("n > 2").select("key", "head", "n")
     members = stage(
         in_cells(entries, "key", cells(larger, "key", KEY_CELLS), KEY_CELLS)
         .join(larger, "key")
-        .groupBy("key", "id", "head")
+        .groupBy("key", "id", "head", "n", "chars")
         .agg(F.min("rank").alias("rank")),
         "line-members",
     )
+    # So far ``n`` counts copies of a line too.
+    many = stage(
+        members.where(F.col("n") > few).groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") > few),
+        "line-keys",
+    )
+    members = members.join(many, "key", "left").withColumn("n", F.coalesce("lines", F.lit(0))).drop("lines")
     pairs = stage(
         meetings.where("n = 2")
         .select(F.col("low").alias("x"), F.col("high").alias("y"))
-        .union(
-            members.where("id <> head").select(F.least("id", "head"), F.greatest("id", "head"))
-        )
+        .union(members.where("id <> head").select(*pair("id", "head")))
         .distinct(),
         "line-pairs",
     )
-    near = stage(near_pairs(pairs, firsts, texts_of(lines, pairs), edits), "near-lines")
-
-    # Lines without a witness yet, against all earlier lines they share a larger key with.
-    left = members.join(near.select(F.col("later").alias("id")).distinct(), "id", "left_anti")
+    # All lines under keys of several are in pairs with their heads, so later steps need no more.
+    texts = stage(texts_of(lines, pairs), "line-texts")
+    near = stage(near_pairs(pairs, texts, edits), "near-lines")
+
+    # Lines without a witness yet, against all earlier lines of their smaller keys; larger keys that
+    # hold such lines are filed anew.
+    done = stage(near.select(F.col("later").alias("id")).distinct(), "near-lines")
+    more, rests = [], None
+    for again in range(depth):
+        more.append(stage(compared(members.where(F.col("n") <= few), done, edits), "line-pairs"))
+        keys = stage(
+            members.where(F.col("n") > few).join(done, "id", "left_anti").select("key").distinct(),
+            "line-keys",
+        )
+        if keys.isEmpty():
+            members = None
+            break
+        # Lines under a key, without what they share there, are filed under it by segments anew.
+        if rests is None:
+            rests = refiled(members.join(keys, "key"), texts, edits)
+        else:
+            rests = rests.join(keys, "key")
+        under = filed(rests, "rest", edits, [F.col("key")], text=True)
+        rests = stage(under.select("id", "rank", "chars", "at.key", "at.rest"), "line-rests")
+        groups = (
+            rests.groupBy("key")
+            .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
+            .where("low < high")
+            .select("key", "n")
+        )
+        met = rests.select("key", "id", "rank", "chars").distinct()
+        members = stage(met.join(groups, "key"), "line-members")
+    if members is not None:
+        more.append(compared(members, done, edits))
     more = stage(
-        left.alias("x")
-        .join(members.alias("y"), "key")
-        .where((F.col("x.id") != F.col("y.id")) & (F.col("y.rank") <= F.col("x.rank")))
-        .select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y"))
-        .distinct()
-        .join(pairs, ["x", "y"], "left_anti"),
-        "line-pairs",
+        reduce(DataFrame.union, more).distinct().join(pairs, ["x", "y"], "left_anti"), "line-pairs"
     )
-    rest = near_pairs(more, firsts, texts_of(lines, more), edits)
-    witnessed = near.union(rest).select(F.col("later").alias("id")).distinct()
+    near = near.union(near_pairs(more, texts, edits))
+    witnessed = near.select(F.col("later").alias("id")).distinct()
     known = firsts.join(witnessed.withColumn("near", F.lit(True)), "id", "left").where(
         "n > 1 OR near"
     )
