@@ -563,6 +563,50 @@ def test_three_hundred_languages(spark):
     assert right == 300
 
 
+def test_the_score_is_fitted_on_every_learned_text(spark):
+    """More texts than any sample of before: score and rejection are those of a fit on all."""
+    prepare(spark)
+    rng = np.random.default_rng(11)
+    letters = {"a": "abcde", "b": "cdefg", "c": "efgab"}
+    rows = []
+    for i in range(3000):
+        lang = "abc"[i % 3]
+        rows.append((i, "".join(rng.choice(list(letters[lang]), int(rng.integers(1, 9)))), lang))
+    rows += [(3000, "abc", None), (3001, None, "a"), (3002, "12", "b"), (None, "cdab", "a"), (3003, "fga", "c"), (3003, "fga", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5).cache()
+    learn = docs.where("lang is not null")
+    told = language_id.score_texts(learn, language_id.train(learn), ["lang"]).where("letters > 0").toPandas()
+    margin, right = told["margin"].to_numpy(), (told["best"] == told["lang"]).to_numpy()
+    assert 0.2 < right.mean() < 0.95 and len(told) == 3003
+    x, y = np.append(margin, [0, 0]), np.append(right, [1, 0]).astype(float)
+    scale, at = np.abs(x).mean(), np.zeros(2)
+    design = np.stack((x / scale, np.ones(len(x))))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-(at @ design)))
+        bend = (design * p * (1 - p)) @ design.T + 1e-3 * np.eye(2)
+        at = at + np.linalg.solve(bend, design @ (y - p) - 1e-3 * at)
+    above = np.quantile(told["entropy"].to_numpy()[right], 0.999) * 1.1
+    scored = language_id.score_texts(docs, language_id.train(learn), ["doc_id", "text"]).toPandas()
+    scored = scored[scored["letters"] > 0].sort_values("text")
+    expected = 1 / (1 + np.exp(-(at[0] * scored["margin"] / scale + at[1])))
+    got = language_id.identify(docs.select("doc_id", "text", "lang"), F.lit(True))
+    texts = docs.select(F.col("doc_id").alias("id"), "text").distinct()
+    got = got.join(texts, got["doc_id"].eqNullSafe(texts["id"])).where("lang_pred <> 'und'").toPandas()
+    got = got.sort_values("text")
+    assert got["text"].tolist() == scored["text"].tolist()
+    assert np.allclose(got["score"], expected, atol=1e-6)
+    assert got["rejected"].tolist() == (scored["entropy"] > above).tolist()
+    docs.unpersist()
+
+
+def test_a_value_is_found_at_its_place_of_the_order(spark):
+    rng = np.random.default_rng(5)
+    values = np.sort(np.concatenate((rng.exponential(2.0, 500), [1.5] * 300, [1e-9, 4e6])))
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(values)], "v double")
+    for place in (0, 1, 250, 400, 700, len(values) - 2, len(values) - 1):
+        assert language_id.at_place(df, "v", place) == values[place]
+
+
 def test_letterless_texts_have_no_language(spark, docs):
     got = {r.doc_id: r for r in language_id.identify(docs, fold(3) != 1).collect()}
     assert {got[i].lang_pred for i in (3, 4, 5)} == {"und"} and got[3].score == 0
