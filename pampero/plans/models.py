@@ -61,7 +61,9 @@ class Models:
     @cached_property
     def best_weather(self) -> DataFrame:
         """Deduplicated weather: parsed, shuffled and written once, read by fact and dimension."""
-        return self.keep(weather.best_daily_rows(self.stg_weather), "best_weather")
+        # Kept by location, days are ranked where they are written.
+        best = getattr(self.keep, "best_days", weather.best_daily_rows)
+        return self.keep(best(self.stg_weather), "best_weather")
 
     @cached_property
     def weather_base(self) -> DataFrame:

@@ -11,12 +11,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pampero.plans import weather
 from pampero.plans.models import Models
 from pampero.sources.schemas import documented
-from pampero.workspace import stage
+from pampero.workspace import release, stage
 
 KEY = "location_id"
 
+#: Raw snapshots of a location from which on its days are ranked before its rows come together.
+HOT_ROWS = 500_000
+
 
 @dataclass(frozen=True)
 class ByLocation:
@@ -38,6 +42,7 @@ class ByLocation:
         return self.save(df, name)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
+        """The relation, stored. The shuffles it took are deleted."""
         spark = df.sparkSession
         table = f"{self.database}.{name}"
         (
@@ -48,8 +53,22 @@ class ByLocation:
             .option("path", f"{self.out}/{name}")
             .saveAsTable(table)
         )
+        release(spark)
         return spark.table(table)
 
+    def best_days(self, staged: DataFrame) -> DataFrame:
+        """`best_daily_rows` by bucket: raw rows are shuffled once, to where they are ranked and
+        written. A location of very many snapshots is brought down to one row a day before."""
+        live = weather.live_rows(staged)
+        counted = live.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+        # One value per HOT_ROWS rows of the table at most.
+        hot = [r[0] for r in counted.where(F.col("n") > HOT_ROWS).select(KEY).collect()]
+        if hot:
+            is_hot = F.col(KEY).isin(hot)
+            ranked = weather.best_daily_rows(live.where(is_hot)).select(*live.columns)
+            live = live.where(~is_hot).unionByName(ranked)
+        return weather.best_daily_rows(live.repartition(self.buckets, F.col(KEY)))
+
     def dealt(self, df: DataFrame) -> DataFrame:
         """Rows by bucket, one task each. What already lies so is left alone."""
         partitioning = df._jdf.queryExecution().sparkPlan().outputPartitioning().toString()
