@@ -116,10 +116,6 @@ SUITE: dict[str, list[Row | Unique | Parent]] = {
 }
 
 
-#: Most row checks a relation may declare: each is a sum of the one aggregation.
-WIDTH = max(sum(isinstance(c, Row) for c in declared) for declared in SUITE.values())
-
-
 def label(check: Row | Unique | Parent) -> str:
     if isinstance(check, Row):
         return check.label
@@ -128,43 +124,39 @@ def label(check: Row | Unique | Parent) -> str:
     return f"known {check.column}"
 
 
-def _entry(
-    test: int, key: Column, child: Column | int, parent: int = 0, failed: list[Column] | None = None
-) -> Column:
+def _entry(test: int, key: Column, child: Column | int, parent: int = 0) -> Column:
     """What one row of a relation adds to one check."""
-    flags = [f.cast("long") for f in failed or []]
-    flags += [F.lit(0).cast("long")] * (WIDTH - len(flags))
     return F.struct(
         F.lit(test).alias("test"),
         key.alias("key"),
         (child if isinstance(child, Column) else F.lit(child)).cast("long").alias("child"),
         F.lit(parent).cast("long").alias("parent"),
-        *[f.alias(f"failed_{i}") for i, f in enumerate(flags)],
     )
 
 
 def _key(columns: list[str]) -> Column:
     """The values of some columns, of whatever types, as one text that tells them apart."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    numbered = [F.col(c).alias(str(i)) for i, c in enumerate(columns)]
+    return F.to_json(F.struct(*numbered), {"ignoreNullFields": "false"})
 
 
 def _expanded(
     df: DataFrame,
-    rows: tuple[int, list[Row]] | None,
+    rows: list[tuple[int, Row]],
     uniques: list[tuple[int, Unique]],
     children: list[tuple[int, Parent]],
     known: list[tuple[int, Parent]],
 ) -> DataFrame:
-    """Every row of a relation as its parts in the checks, its own and those it is parent to."""
+    """Every row of a relation as its parts in the checks, its own and those it is parent to.
+
+    An entry has no more than its check, its key and two counts, and rows that pass a row check
+    make none: most entries are one row's alone, and are shuffled as they are."""
     entries = []
     nothing = F.lit(None).cast("string")
-    if rows:
+    for test, check in rows:
         # An unknown condition passes.
-        failed = [
-            F.expr(r.where) & F.coalesce(~F.expr(r.holds), F.lit(False)) for r in rows[1]
-        ]
-        failed = [F.coalesce(f, F.lit(False)) for f in failed]
-        entries.append(_entry(rows[0], nothing, 1, failed=failed))
+        failed = F.expr(check.where) & F.coalesce(~F.expr(check.holds), F.lit(False))
+        entries.append(_entry(test, nothing, F.coalesce(failed, F.lit(False))))
     for test, check in uniques:
         # A lone NULL is no value; a combination may hold some.
         counted = F.col(check.columns[0]).isNotNull() if len(check.columns) == 1 else 1
@@ -173,7 +165,7 @@ def _expanded(
         entries.append(_entry(test, _key([check.column]), F.col(check.column).isNotNull()))
     for test, check in known:
         entries.append(_entry(test, _key([check.column]), 0, parent=1))
-    return df.select(F.inline(F.array(*entries)))
+    return df.select(F.inline(F.array(*entries))).where("child > 0 or parent > 0")
 
 
 def run_suite(
@@ -182,18 +174,17 @@ def run_suite(
     """Relation, check and number of failures: rows, or keys for the checks on keys.
 
     Relations that are not given are skipped. Every relation is read once: a row becomes one entry
-    for its row checks and one for each key it holds or vouches for, entries are added up by check
-    and key, partially before they are shuffled, and the sums once more by check. Neither a
-    frequent key nor a long relation comes together in a task.
+    for each row check it fails and one for each key it holds or vouches for, entries are added up
+    by check and key, partially before they are shuffled, and the sums once more by check. Neither
+    a frequent key nor a long relation comes together in a task.
     """
     given = {n: declared for n, declared in suite.items() if n in relations}
-    tests = [(n, c) for n, declared in given.items() for c in declared if not isinstance(c, Row)]
+    tests = [(n, c) for n, declared in given.items() for c in declared]
     number = {test: i for i, test in enumerate(tests)}
-    row_test = {n: len(tests) + i for i, n in enumerate(given)}
     parts = []
-    for name, declared in given.items():
-        checked = [c for c in declared if isinstance(c, Row)]
-        rows = (row_test[name], checked) if checked else None
+    for name in given:
+        declared = dict.fromkeys(given[name])
+        rows = [(number[name, c], c) for c in declared if isinstance(c, Row)]
         uniques = [(number[name, c], c) for c in declared if isinstance(c, Unique)]
         children = [(number[name, c], c) for c in declared if isinstance(c, Parent)]
         known = [
@@ -205,26 +196,17 @@ def run_suite(
     }
     if missing:
         raise ValueError(f"parents of checked relations are not given: {sorted(missing)}")
-    sums = [F.sum(c).alias(c) for c in ["child", "parent", *[f"failed_{i}" for i in range(WIDTH)]]]
+    sums = [F.sum(c).alias(c) for c in ["child", "parent"]]
     by_key = reduce(DataFrame.unionByName, parts).groupBy("test", "key").agg(*sums)
     by_test = by_key.groupBy("test").agg(
         F.count_if(F.expr("child > 1")).alias("repeated"),
         F.count_if(F.expr("child > 0 and parent = 0")).alias("unknown"),
-        *[F.sum(f"failed_{i}").alias(f"failed_{i}") for i in range(WIDTH)],
+        F.sum("child").alias("failed"),
     )
     # One row a declared check, whatever the relations hold.
-    listed = []
-    for name, declared in given.items():
-        place = 0
-        for check in declared:
-            if isinstance(check, Row):
-                listed.append((name, label(check), row_test[name], f"failed_{place}"))
-                place += 1
-            else:
-                kind = "repeated" if isinstance(check, Unique) else "unknown"
-                listed.append((name, label(check), number[name, check], kind))
+    kinds = {Row: "failed", Unique: "repeated", Parent: "unknown"}
+    listed = [(n, label(c), number[n, c], kinds[type(c)]) for n, c in tests]
     spark = by_test.sparkSession
     declared = spark.createDataFrame(listed, "relation string, check string, test int, measure string")
-    measures = ["repeated", "unknown", *[f"failed_{i}" for i in range(WIDTH)]]
-    value = F.coalesce(*[F.when(F.col("measure") == m, F.col(m)) for m in measures], F.lit(0))
+    value = F.coalesce(*[F.when(F.col("measure") == m, F.col(m)) for m in kinds.values()], F.lit(0))
     return declared.join(by_test, "test", "left").select("relation", "check", value.alias("failures"))

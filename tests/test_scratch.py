@@ -62,3 +62,42 @@ def test_days_kept_by_location_are_shuffled_once(spark, database, monkeypatch):
     assert ", date" not in few[few.index("Exchange hashpartitioning") :].split("\n")[0]
     # The hot ones by day, in their own branch.
     assert many.count("Exchange hashpartitioning(location_id") == 2 and "Union" in many
+
+
+def test_checks_shuffle_narrow_entries_and_none_for_rows_that_pass(spark):
+    """An entry is a check, a key and two counts, however many checks a relation declares."""
+    declared = {"t": [Row(f"positive {i}", "n > 0", f"n <> {i}") for i in range(1, 9)] + [Unique(("k", "n"))]}
+    t = spark.createDataFrame([("a", 1), ("a", 1), (None, -1), (None, -1), ("b", None)], "k string, n int")
+    suite = run_suite({"t": t}, declared)
+    found = {r["check"]: r["failures"] for r in suite.collect()}
+    assert found == {**{f"positive {i}": 2 for i in range(1, 9)}, "unique k, n": 2}
+    # Only the two counts are added up.
+    plan = physical(suite)
+    partial = [line for line in plan.split("\n") if "HashAggregate(keys=[test#" in line and "key#" in line]
+    assert partial and all(line.count("sum(") == 2 for line in partial)
+
+
+def shuffle_files(spark):
+    """Sizes of the shuffle files that lie on disk."""
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [str(f) for f in env.blockManager().diskBlockManager().localDirs()]
+    return {p: p.stat().st_size for folder in folders for p in Path(folder).glob("*/shuffle_*.data") if p.exists()}
+
+
+def left_of(spark, before, most=0):
+    """Bytes of shuffle files made since ``before``, once no more than ``most`` or after a while."""
+    for _ in range(40):
+        left = sum(n for p, n in shuffle_files(spark).items() if p not in before)
+        if left <= most:
+            break
+        time.sleep(0.25)
+    return left
+
+
+def test_the_suite_leaves_no_days_shuffled(spark):
+    """Days of both generations, yields and the fact are shuffled by the time it returns, and their
+    files are gone."""
+    before = {**shuffle_files(spark)}
+    checked = QUERIES["check_suite"](spark, DATA)
+    assert left_of(spark, before, 50_000) <= 50_000
+    assert checked.count() == 61
