@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pampero.operators.monthly import MONTH, read_state, read_table, write_months
 from pampero.operators.ranking import best_row, newest
-from pampero.workspace import staged
+from pampero.workspace import release, staged
 
 
 def high_water_mark(target: DataFrame, column: str) -> datetime | None:
@@ -140,12 +140,13 @@ def upsert(
 
     The key must determine the month (it holds the date). Only the folders of the batch's months
     are opened, and their merged rows are written once, beside them; all months are put in place
-    by one step (`monthly`).
+    by one step (`monthly`). The shuffle a step took is deleted before the next.
     """
     spark = batch.sparkSession
     state = read_state(spark, path)
-    choose = None
+    choose, stored = None, False
     with staged(batch, "batch") as batch:
+        release(spark)
         # One value per month of history touched, twelve a year at most.
         months = [r[0] for r in batch.select(MONTH).distinct().collect()]
         target = read_table(spark, path, months)
@@ -155,6 +156,7 @@ def upsert(
         if set(cluster_by) <= set(keys):
             # Rows of one key meet where files are written: they are shuffled once.
             merged, choose = _to_choose(target, batch, keys, version)
+            stored = True
         elif target is None:
             merged = newest_versions(batch, keys, version) if version else batch
         else:
@@ -162,7 +164,9 @@ def upsert(
                 merge_newest(target, batch, keys, version) if version else merge(target, batch, keys)
             )
         stamp = None if mark is None else mark.isoformat(" ")
-        write_months(merged, path, cluster_by, places, stamp, before=state, choose=choose)
+        write_months(
+            merged, path, cluster_by, places, stamp, before=state, choose=choose, stored=stored
+        )
 
 
 def _to_choose(

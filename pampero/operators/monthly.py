@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pampero.files import read_text, replace_text, subfolders
-from pampero.workspace import discard
+from pampero.workspace import discard, release
 
 MONTH = "month_start"
 
@@ -39,6 +39,11 @@ MONTH = "month_start"
 #: fewer than that for the sake of more tasks.
 FILE_ROWS, LEAST_ROWS = 500_000, 2_000
 
+#: Rows of stored relations that are written in one go: more are written in passes over months, so
+#: that the shuffle of one is deleted before the next, but in no more passes than these, since
+#: each reads the rows again.
+PASS_ROWS, PASSES = 4_000_000, 8
+
 #: How a month is written in folder names and the pointer.
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
@@ -198,6 +203,28 @@ def span_of(cuts: Column, key: Column, most: int) -> Column:
     return F.get(cuts, F.aggregate(steps, F.lit(0), step))["span"]
 
 
+def passes_over(keys: DataFrame, rows: int) -> list[list[date | None]]:
+    """All months, in order, in groups of about as many rows."""
+    size = max(PASS_ROWS, -(-rows // PASSES))
+    if rows <= size:
+        return []
+    # One row a month.
+    counts = sorted(keys.groupBy(MONTH).count().collect(), key=lambda r: (r[0] is not None, r[0]))
+    groups, room = [], 0
+    for month, n in counts:
+        if room <= 0:
+            groups.append([])
+            room = size
+        groups[-1].append(month)
+        room -= n
+    return groups
+
+
+def _of_months(df: DataFrame, months: list[date | None]) -> DataFrame:
+    named = F.col(MONTH).isin([m for m in months if m is not None])
+    return df.where(named | F.col(MONTH).isNull() if None in months else named)
+
+
 def write_months(
     df: DataFrame,
     path: str,
@@ -208,6 +235,7 @@ def write_months(
     before: State | None = None,
     choose: Callable[[DataFrame, list[str]], DataFrame] | None = None,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    stored: bool = False,
 ) -> None:
     """Replace the months present in ``df``, or with ``whole`` the table, in one step.
 
@@ -219,7 +247,9 @@ def write_months(
     alone needs no shuffle of its own: ``choose`` gets the rows where they meet, and the columns
     they lie by, and returns those to write. ``finish`` gets the rows sorted and works out what
     follows from each alone, so that it need not be shuffled or sorted; it keeps ``span``, month
-    and cluster columns as they are.
+    and cluster columns as they are. ``stored`` says that ``df`` is no more than stored relations
+    put together: then many rows are shuffled some months at a time (`PASS_ROWS`), and all put in
+    place together as ever.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
@@ -232,7 +262,15 @@ def write_months(
     count = max(tasks, -(-rows // FILE_ROWS), 1)
     spans_of(keys, cluster_by, count).coalesce(1).write.parquet(f"{path}/spans/{load}")
     spans = spark.read.parquet(f"{path}/spans/{load}")
-    kept = _write_spans(df, f"{path}/{load}", spans, cluster_by, count, choose, finish)
+    parts = [df]
+    if stored and (passes := passes_over(keys, rows)):
+        parts = [_of_months(df, months) for months in passes]
+    for part in parts:
+        kept = _write_spans(part, f"{path}/{load}", spans, cluster_by, count, choose, finish)
+        schema = kept.select(*_without_month(kept), MONTH).schema.json()
+        del kept
+        if stored:
+            release(spark)
     # One name a month reaches the driver.
     names = [n.partition("=")[2] for n in subfolders(spark, f"{path}/{load}")]
     others = {} if whole else before.months
@@ -245,7 +283,7 @@ def write_months(
         load=before.load + 1,
         months=months,
         replaced=superseded,
-        schema=json.loads(kept.select(*_without_month(kept), MONTH).schema.json()),
+        schema=json.loads(schema),
         cluster_by=cluster_by,
         mark=mark or before.mark,
     )
@@ -278,5 +316,6 @@ def _write_spans(
     if finish:
         placed = finish(placed)
     # The sorts are part of the plan given, so Spark adds none for the folders.
-    placed.write.option("compression", "zstd").partitionBy(MONTH, "span").parquet(folder)
+    written = placed.write.mode("append").option("compression", "zstd")
+    written.partitionBy(MONTH, "span").parquet(folder)
     return placed.drop("span")

@@ -101,3 +101,33 @@ def test_the_suite_leaves_no_days_shuffled(spark):
     checked = QUERIES["check_suite"](spark, DATA)
     assert left_of(spark, before, 50_000) <= 50_000
     assert checked.count() == 61
+
+
+@pytest.mark.parametrize("version", [None, ["v"]])
+def test_many_rows_are_upserted_some_months_at_a_time(spark, monkeypatch, version):
+    """Repeated and null keys and months too; what a pass shuffled is gone before the next."""
+    kind = "k string, date date, v int, pad string, month_start date"
+    months = [date(2024, m, 1) for m in (1, 2, 3, 4)]
+    days = [m.replace(day=5) for m in months]
+    stored = [(k, d, 1, m) for k in ("a", "b", "b", None) for d, m in zip(days, months)] + [("a", None, 1, None)]
+    come = [(k, d, 2 * i, m) for i, k in enumerate(("b", "c", "c", None)) for d, m in zip(days[1:], months[1:])]
+    come += [("a", None, 5, None), ("d", None, 6, None)]
+    rng = random.Random(3)
+    stored, come = ([(*r[:3], rng.randbytes(5_000).hex(), r[3]) for r in part] for part in (stored, come))
+    target, batch = spark.createDataFrame(stored, kind), spark.createDataFrame(come, kind)
+    monkeypatch.setattr(monthly, "PASS_ROWS", 9)
+    calls, write = [], monthly._write_spans
+
+    def spied(*args):
+        calls.append(left_of(spark, before, 20_000))
+        return write(*args)
+
+    monkeypatch.setattr(monthly, "_write_spans", spied)
+    table, before = new_path(spark, "passes"), {**shuffle_files(spark)}
+    for df in (target, batch):
+        incremental.upsert(df, table, ["k", "date"], ["k"], version)
+    merge = incremental.merge_newest if version else incremental.merge
+    expected = merge(target, batch, ["k", "date"], *([version] if version else []))
+    assert rows(incremental.read_table(spark, table)) == rows(expected)
+    assert len(calls) == 4 and max(calls) <= 20_000
+    assert monthly.read_state(spark, table).load == 2
