@@ -131,3 +131,23 @@ def test_many_rows_are_upserted_some_months_at_a_time(spark, monkeypatch, versio
     assert rows(incremental.read_table(spark, table)) == rows(expected)
     assert len(calls) == 4 and max(calls) <= 20_000
     assert monthly.read_state(spark, table).load == 2
+
+
+def test_a_streamed_batch_is_written_after_its_own_shuffles_are_deleted(spark, monkeypatch):
+    table, left = new_path(spark, "streamed"), []
+    write = monthly.write_months
+
+    def spied(*args, **kwargs):
+        left.append(left_of(spark, before, 50_000))
+        return write(*args, **kwargs)
+
+    monkeypatch.setattr(incremental, "write_months", spied)
+    raw = adapter.raw_weather(spark, DATA)
+    before = {**shuffle_files(spark)}
+    streaming.load_batch(raw, table)
+    streaming.load_batch(raw, table)
+    assert len(left) == 2 and max(left) <= 50_000
+    # The second time the same days came again.
+    assert incremental.read_table(spark, table).count() == legacy.daily(adapter.observations(spark, DATA)).select(
+        *legacy.KEY
+    ).distinct().count()

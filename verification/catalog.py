@@ -678,7 +678,7 @@ def _(spark, d):
     raw, table = new_path(spark, "raw"), new_path(spark, "daily")
     # Copies of one day come from different orders and lie in different files, so later
     # batches meet rows of earlier ones.
-    adapter.raw_weather(spark, d).write.parquet(raw)
+    adapter.raw_weather(spark, d).write.option("compression", "zstd").parquet(raw)
     files = spark.read.format("binaryFile").load(raw).select("path").count()
     stream = streaming.read_raw_stream(spark, raw, files_per_batch=max(1, files // 3))
     job = streaming.run_available(stream, table, new_path(spark, "progress"))
