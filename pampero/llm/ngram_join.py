@@ -34,9 +34,9 @@ from pampero.llm.common import (
     slices,
     stage,
     text_bytes,
+    unstage,
 )
 from pampero.llm.components import components
-from pampero.workspace import discard
 
 SHINGLE = 5
 PERCENT = 80
@@ -377,7 +377,7 @@ def jaccard_links(
     )
     member_rows = stage(member_rows, "set-members")
     # Prefixes of all rows are read no more: those of one set of each class are in ``reps``.
-    discard(spark, rows_path)
+    unstage(spark, rows_path)
     total = reps.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     entries = list_entries(reps, total // 8)
     release(spark)
@@ -406,7 +406,7 @@ def jaccard_links(
         sets = stage(members_of(docs, reps, endpoints(plain), k), "sets")
         sets_path = STAGED[-1]
         counted = stage(overlaps(plain, sets), "set-overlaps")
-        discard(spark, sets_path)
+        unstage(spark, sets_path)
         release(spark)
         found = counted.where(alike(F.col("overlap"), F.col("na"), F.col("nb"), percent))
         tried = plain if tried is None else tried.union(plain)
